@@ -132,7 +132,7 @@ def _split_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Rows sorted by bucket, neighbourhood and place. Out: intervals to remove (``gram`` null), and, for buckets
     that split, the first member of each final bucket (``lo`` is its place). What is carried over is one row."""
     gram0 = around0 = doc0 = at0 = None  # the last leader
-    pending, split = False, False  # whether it waits for a second one, whether its bucket has split
+    pending = False  # whether its bucket has not split so far
     for batch in batches:
         gram, around, doc, at, lo, hi = (c.to_numpy() for c in batch.columns)
         n = len(gram)
@@ -166,11 +166,9 @@ def _split_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             if joins:
                 keep[: sizes[0]] = True
             out_gram.append(g[keep]), out_doc.append(doc[place][keep]), out_at.append(at[place][keep])
-            split = bool(keep[-1])
-            pending = not split
+            pending = not keep[-1]
             gram0, doc0, at0 = g[-1], doc[place[-1]], at[place[-1]]
             around0 = around[place[-1]]
-        del split
         s = np.flatnonzero(gone)
         if len(s):
             yield pa.record_batch([pa.nulls(len(s), pa.int64()), pa.array(doc[s]), pa.array(lo[s], pa.int32()), pa.array(hi[s], pa.int32())], names=["gram", "doc", "lo", "hi"])
