@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytescan, common
@@ -181,7 +181,6 @@ def _shared(leaders: DataFrame, depth: int, within: DataFrame | None = None) ->
     """doc, leaf, n, head (least doc), count, members of the leaves at ``depth`` that hold two leaders or more."""
     rows = leaders if within is None else leaders.join(within.select("doc").distinct(), "doc", "left_semi")
     leaves = rows.select("doc", "sig", "n_shingles").mapInArrow(_leaves(depth), "doc bigint, leaf bigint, n bigint")
-    from pyspark.sql import Window
 
     w = Window.partitionBy("leaf")
     return leaves.select("doc", "leaf", F.min("doc").over(w).alias("head"), F.count("*").over(w).alias("count"), F.sum("n").over(w).alias("members")).filter("count > 1")
