@@ -132,8 +132,42 @@ def keep_good(docs: DataFrame, host: str = "source", text: str = "text") -> Data
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(common.table(spark, sf_dir, "documents"))
-
-
-#: The host's part in plain SQL. DuckDB's regular expressions count the base rules; 8-word windows by list functions.
-ORACLE_SQL = None
+    return judge(common.table(spark, sf_dir, "documents")).drop("host_rate")
+
+
+ORACLE_SQL = rf"""
+WITH words AS (
+    SELECT doc_id, coalesce(source, '') AS host, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, list_aggregate(list_slice(w, i, i + {WINDOW - 1}), 'string_agg', ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS i FROM words WHERE len(w) >= {WINDOW})
+), twice AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows) WHERE n > 1
+), covered AS (
+    SELECT doc_id, count(DISTINCT i + k) AS n FROM twice CROSS JOIN range(0, {WINDOW}) AS r(k) GROUP BY doc_id
+), lines AS (
+    SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), dup AS (
+    SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY doc_id
+), counts AS (
+    SELECT doc_id, host, len(w)::BIGINT AS n_words, length(list_aggregate(w, 'string_agg', '')) AS chars,
+        length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+    FROM words LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id)
+), judged AS (
+    SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM counts
+), hosts AS (
+    SELECT host, count(*)::DOUBLE AS n, sum(base_failed::INT)::DOUBLE AS failed FROM judged GROUP BY host
+), moments AS (
+    SELECT greatest(least(sum(failed) / sum(n), 1 - 1e-6), 1e-6) AS mean, sum(failed * failed / n) / sum(n) - power(sum(failed) / sum(n), 2) AS seen, (count(*) - 1) / sum(n) AS chance FROM hosts
+), between_hosts AS (
+    SELECT mean, seen - mean * (1 - mean) * chance AS b FROM moments
+), prior AS (
+    SELECT mean, CASE WHEN b > 0 THEN least(greatest(mean * (1 - mean) / b - 1, {PRIOR_STRENGTH[0]}), {PRIOR_STRENGTH[1]}) ELSE {PRIOR_STRENGTH[1]} END AS strength FROM between_hosts
+), verdicts AS (
+    SELECT host, (failed + mean * strength) / (n + strength) > {MAX_HOST_RATE} AS rejected FROM hosts CROSS JOIN prior
+)
+SELECT doc_id, n_words, coalesce(chars, 0)::BIGINT AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT rejected AS kept
+FROM judged JOIN verdicts USING (host)
+"""
