@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import common, decontamination, near_duplicates, pii, quality_rules
+from tidemark.llm import common, decontamination, near_duplicates, pii, quality_rules, source_mixing
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,11 +29,17 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return pii.redact(docs)
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents by the budgets of their sources, once for each epoch that takes them."""
+    return source_mixing.mixed(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality),
     ("near_dedup", near_dedup),
     ("decontamination", decontaminate),
     ("pii", mask_personal_data),
+    ("source_mixing", mix_sources),
 ]
 
 #: SQL can't express signatures, embeddings and parsers; the tests compare with brute force.
