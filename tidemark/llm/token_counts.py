@@ -13,7 +13,9 @@ before a single space between two non-spaces, where the tokenizer's own pattern
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -71,8 +73,33 @@ def _encoder(load, split):
     return encode
 
 
+#: Pieces that a byte-level tokenizer never merges across: its own pattern ends at each of their ends.
+PIECES = re.compile(r"\s+(?!\S)| ?\S+|\s")
+#: Counted as white space here, but not by the tokenizers.
+SEPARATORS = re.compile("[\x1c-\x1f]")
+#: Known pieces and words of a worker; beyond this it starts afresh.
+REMEMBERED = 300_000
+
+
+class Remembered(dict):
+    """Counts by string; what is missing is counted, and kept while there is room."""
+
+    def __init__(self, count):
+        self.count = count
+
+    def __missing__(self, key: str) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        n = self[key] = self.count(key)
+        return n
+
+
 def json_tokenizer(path: str):
-    """Counts by the ``tokenizers`` library: nothing added, special strings handled as it does by default."""
+    """Counts by the ``tokenizers`` library: nothing added, special strings handled as it does by default.
+
+    Byte-level ones count a text piece by piece, each distinct piece by the library's own steps, once. Texts with a
+    special string or an odd separator, and those of other tokenizers, are encoded as they are.
+    """
 
     def load():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -81,7 +108,21 @@ def json_tokenizer(path: str):
         model = Tokenizer.from_file(path)
         model.no_truncation()
         model.no_padding()
-        return lambda parts: [len(x) for x in model.encode_batch_fast(parts, add_special_tokens=False)]
+        whole = lambda parts: [len(x) for x in model.encode_batch_fast(parts, add_special_tokens=False)]
+        with open(path, encoding="utf-8") as f:
+            config = json.load(f)
+        pre = config.get("pre_tokenizer") or {}
+        special = [t["content"] for t in config.get("added_tokens") or []]
+        if config.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True) or any(s.split() != [s] for s in special):
+            return whole
+        cut, encode = model.pre_tokenizer.pre_tokenize_str, model.model.tokenize
+        words = Remembered(lambda word: len(encode(word)))
+        pieces = Remembered(lambda piece: sum(words[w] for w, _ in cut(piece)))
+
+        def count(parts: list[str]) -> list[int]:
+            return [whole([p])[0] if SEPARATORS.search(p) or any(s in p for s in special) else sum(map(pieces.__getitem__, PIECES.findall(p))) for p in parts]
+
+        return count
 
     return load
 
