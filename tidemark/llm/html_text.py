@@ -37,6 +37,7 @@ WORD = re.compile(r"[a-z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
+RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.IGNORECASE) for tag in RAW}
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 DROPPED = frozenset("head title script style noscript template nav header footer aside form button select option textarea input iframe svg canvas object dialog menu xmp noembed noframes".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre table tbody thead tr td th figure figcaption dl dt dd ol ul li".split())
@@ -70,16 +71,9 @@ class Element:
 def parse(html: str) -> Element:
     """The tree of a page; parts are elements and decoded texts, in page order."""
     root = Element("html", "", None)
-    here, at, raw = root, 0, ""
-    for m in TOKEN.finditer(html):
+    here, at, seek = root, 0, TOKEN.search
+    while m := seek(html, at):
         tag = m[2].lower() if m[2] else ""
-        if raw:
-            if not (m[1] and tag == raw):
-                continue
-            if raw == "title":
-                here.parts.append(unescape(html[at : m.start()]))
-            at, raw, here = m.end(), "", here.parent
-            continue
         if m.start() > at:
             here.parts.append(unescape(html[at : m.start()]))
         at = m.end()
@@ -117,11 +111,14 @@ def parse(html: str) -> Element:
                 here = node.parent
         child = Element(tag, m[3], here)
         here.parts.append(child)
-        if not m[3].endswith("/") or tag in RAW:
+        if tag in RAW:  # no markup inside, up to its own end tag
+            end = RAW_END[tag].search(html, at)
+            if tag == "title":
+                child.parts.append(unescape(html[at : end.start() if end else len(html)]))
+            at = end.end() if end else len(html)
+        elif not m[3].endswith("/"):
             here = child
-            if tag in RAW:
-                raw = tag
-    if not raw and at < len(html):
+    if at < len(html):
         here.parts.append(unescape(html[at:]))
     return root
 
