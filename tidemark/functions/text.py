@@ -7,7 +7,7 @@ import unicodedata
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -159,3 +159,12 @@ def like_pattern(search: str) -> str:
     return "%" + search.lower().replace("\\", "\\\\") + "%"
 
 
+
+
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is computed once for each row, however often it is used later.
+
+    The optimizer copies an expression to where its column is used, and filters move below it with such copies;
+    nested ones multiply. A generator of one row is where that ends.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))

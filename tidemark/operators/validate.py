@@ -145,7 +145,7 @@ def reason_code(code: Column, errors_: Column, reason: Column) -> Column:
 
 def judged(records: DataFrame, as_of: Column) -> DataFrame:
     """``records`` with their errors; nothing is dropped."""
-    return records.withColumn("errors", errors(as_of)).withColumn("valid", F.col("payload").isNotNull() & (F.size("errors") == 0))
+    return text.once(records, "errors", errors(as_of)).withColumn("valid", F.col("payload").isNotNull() & (F.size("errors") == 0))
 
 
 def postings(rows: DataFrame) -> DataFrame:

@@ -82,9 +82,11 @@ def problems(landing: DataFrame) -> DataFrame:
 def parse(landing: DataFrame) -> DataFrame:
     own = landing.filter((F.col("source") == SOURCE) & F.col("body").isNotNull())
     rows = own.select("task_key", F.col("meta")["thread_id"].alias("thread_id"), F.posexplode(comments("body")).alias("pos", "c"))
-    rows = rows.filter("c.indent = '0' AND c.lines IS NOT NULL AND c.id <> ''")
-    header = F.coalesce(F.try_element_at(F.col("c.lines"), F.lit(1)), F.lit(""))
-    rows = rows.withColumn("header", header).withColumn("h", headers.parse_header(F.col("header"), headers.role_from_body(F.col("c.lines"))))
+    rows = rows.select("task_key", "thread_id", "pos", *(F.col(f"c.{f}").alias(f) for f in _COMMENT.names))
+    rows = rows.filter("indent = '0' AND lines IS NOT NULL AND id <> ''")
+    header = F.coalesce(F.try_element_at(F.col("lines"), F.lit(1)), F.lit(""))
+    rows = text.once(rows.withColumn("header", header), "role", headers.role_from_body(F.col("lines")))
+    rows = headers.parsed(rows, "h", F.col("header"), F.col("role"))
     code = F.col("h.error_code")
     shown = F.concat(F.lit(" (got '"), F.substring("header", 1, 120), F.lit("')"))
     error = F.when(code == "header_not_pipe_delimited", F.concat(F.lit("header line does not use the 'Company | Role | ...' pipe convention"), shown)).when(
@@ -93,8 +95,8 @@ def parse(landing: DataFrame) -> DataFrame:
     tags = F.when(F.col("h.from_body"), F.array(F.lit("hn-who-is-hiring"), F.lit("title-from-body"))).otherwise(F.array(F.lit("hn-who-is-hiring")))
     payload = {
         "source": F.lit(SOURCE),
-        "external_id": F.col("c.id"),
-        "url": F.concat(F.lit(ITEM_URL), F.col("c.id")),
+        "external_id": F.col("id"),
+        "url": F.concat(F.lit(ITEM_URL), F.col("id")),
         "company": text.clean_text(F.col("h.company")),
         "title": text.clean_text(F.col("h.title")),
         "location": text.clean_text(F.col("h.location")),
@@ -103,12 +105,12 @@ def parse(landing: DataFrame) -> DataFrame:
         "salary_max": F.col("h.salary_max").cast("string"),
         "salary_currency": F.col("h.salary_currency"),
         "tags": tags,
-        "description_text": F.col("c.plain"),
-        "posted_at": F.col("c.posted_at"),
+        "description_text": F.col("plain"),
+        "posted_at": F.col("posted_at"),
     }
     struct = F.struct(*(payload[k].alias(k) for k in ALLOWED)).cast(PAYLOAD)
-    raw = F.to_json(F.struct(F.col("c.id").alias("comment_id"), "header", "thread_id", F.col("c.posted_at").alias("posted_at"), F.substring(F.array_join("c.lines", "\n"), 1, 500).alias("text_preview")), {"ignoreNullFields": "false"})
-    return records(rows, SOURCE, F.col("c.id"), struct, error, code, raw)
+    raw = F.to_json(F.struct(F.col("id").alias("comment_id"), "header", "thread_id", "posted_at", F.substring(F.array_join("lines", "\n"), 1, 500).alias("text_preview")), {"ignoreNullFields": "false"})
+    return records(rows, SOURCE, F.col("id"), struct, error, code, raw)
 
 
 def threads(search: DataFrame, n: int) -> DataFrame:

@@ -18,9 +18,10 @@ def _get(path: str) -> Column:
 
 
 def _filled(path: str) -> Column:
-    """The value as text if it is truthy: not null, '', 0 or false."""
+    """The value as text unless it is null, an empty string, the number 0 or false."""
     v = _get(path)
-    return F.when(~v.isin("", "0", "0.0", "false"), v)
+    is_text = F.schema_of_variant(F.try_variant_get("value", f"$.{path}", "variant")) == "STRING"
+    return F.when((v != "") & (is_text | ~v.isin("0", "0.0", "false")), v)
 
 
 def problems(landing: DataFrame) -> DataFrame:

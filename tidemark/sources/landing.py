@@ -5,19 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import text
+
 
 def records(rows: DataFrame, source: str, external_id: Column, payload: Column, error: Column, code: Column, raw: Column) -> DataFrame:
     """Rows of the RECORD schema from rows with task_key and pos; a record has a payload or a parse error, never both."""
     none = F.array().cast("array<string>")
+    rows = text.once(rows, "_found", F.struct(payload.alias("payload"), error.alias("error")))
     return rows.select(
         "task_key",
         F.lit(source).alias("source"),
         F.col("pos").cast("bigint").alias("pos"),
         external_id.alias("external_id"),
-        F.when(error.isNull(), payload).alias("payload"),
+        F.when(F.col("_found.error").isNull(), F.col("_found.payload")).alias("payload"),
         none.alias("extra_keys"),
         none.alias("missing_keys"),
-        error.alias("parse_error"),
+        F.col("_found.error").alias("parse_error"),
         code.alias("error_code"),
         raw.alias("raw"),
     )
