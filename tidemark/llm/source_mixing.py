@@ -80,9 +80,10 @@ def leaf_budgets(leaves: DataFrame, weights: dict = WEIGHTS, budget_percent: int
 
 def cut_offs(rows: DataFrame, budgets: DataFrame, seed: str = SEED) -> DataFrame:
     """LEVELS, epochs (whole ones), until (the last order key taken of the next one, null if none)."""
-    plan = budgets.withColumn("epochs", F.expr("budget div available")).withColumn("rest", F.expr("budget % available"))
+    # Written, so that its size is known where it is joined; a leaf's rows are then dealt out by slice, however many.
+    plan = common.cut(budgets.withColumn("epochs", F.expr("budget div available")).withColumn("rest", F.expr("budget % available")), "budgets")
     keyed = rows.join(plan, list(LEVELS)).select(*LEVELS, "epochs", "rest", "n_tokens", order_key(F.col("key"), F.col("epochs"), seed).alias("place"))
-    keyed = keyed.withColumn("slice", F.substring("place", 1, 3))
+    keyed = keyed.withColumn("slice", F.substring("place", 1, 3)).repartition(*LEVELS, "slice")
     slices = keyed.groupBy(*LEVELS, "slice").agg(F.sum("n_tokens").alias("n"), F.max("place").alias("last"), F.max("rest").alias("rest"))
     along = Window.partitionBy(*LEVELS).orderBy("slice")
     slices = common.cut(slices.withColumn("until", F.sum("n").over(along)).withColumn("from", F.col("until") - F.col("n")), "slices")
