@@ -161,7 +161,9 @@ def token_counts(docs: DataFrame, vocabulary: str, cache: str, key: str = "doc_i
     misses = misses.select("digest", "content").mapInArrow(_encoder(load, split), "digest binary, n_tokens bigint")
     common.write(misses.withColumn("version", F.lit(version)), cache, "append")
 
-    known = stored(spark, cache, version)
+    # Written once more, so that nothing but the join asks for its partitions: Spark can then split those of a text that
+    # very many rows share.
+    known = common.cut(stored(spark, cache, version), "counts")
     rows = keyed.select("key", "digest", F.octet_length("content").cast("bigint").alias("n_bytes"))
     return rows.join(known, "digest", "left").select(F.col("key").alias(key), "n_bytes", "n_tokens")
 
