@@ -17,6 +17,17 @@ def _least(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
 
 
+#: Parts that the edges of one node are dealt into where they meet its least neighbour.
+SALTS = 16
+
+
+def _with_least(pairs: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) with the least neighbour m of ``a``; a hub's edges are dealt to several tasks."""
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+    least = _least(pairs).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(least, ["a", "salt"]).select("a", "b", "m")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest node) of every node of ``edges`` (a, b). Loops and repeated edges are allowed.
 
@@ -27,7 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges = common.cut(edges.select("a", "b").filter("a <> b").distinct(), "edges")
     while True:
         both = _mirrored(edges)
-        large = both.join(_least(both), "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = _with_least(both).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = common.cut(large.filter("a <> b").distinct(), "large")
         # Small star: each node's smaller neighbours, and itself, hang on the least of them.
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
