@@ -39,6 +39,8 @@ SPAN = LENGTH - GRAM  # an anchor lies at most this far behind the start of a st
 PIECE = 1 << 16
 #: Buckets with more members than this are refined by aggregation.
 HOT_MEMBERS = 20_000
+#: Members that are compared at a time; what is kept of those before is each string's first place.
+AT_ONCE = 4096
 
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -206,18 +208,29 @@ def strings_around(doc: np.ndarray, at: np.ndarray, left: np.ndarray, around: li
 
 def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by gram; buckets up to HOT_MEMBERS. Out: intervals to remove."""
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first = none  # of the last bucket so far: its strings, and the first place (document, start) of each
+    last = None
 
     def settle(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        nonlocal first, last
         table = pa.Table.from_batches(rows)
         gram = table.column("gram").to_numpy()
         doc, at, left = (table.column(k).to_numpy().astype(np.int64) for k in ("doc", "at", "left"))
         h, member, d, p = strings_around(doc, at, left, table.column("around").to_pylist())
         h = h ^ bytescan.mix(gram.view(np.uint64))[member]
+        bucket = gram[member]
+        if gram[0] == last:
+            h, d, p = (np.concatenate(x) for x in zip(first, (h, d, p), strict=True))
+            bucket = np.concatenate((np.full(len(first[0]), last), bucket))
         order = np.lexsort((p, d, h))
-        h, d, p = h[order], d[order], p[order]
-        new = np.concatenate(([True], h[1:] != h[:-1]))
-        first = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
-        gone = (d != d[first]) | (p != p[first])
+        h, d, p, bucket = h[order], d[order], p[order], bucket[order]
+        new = np.ones(len(h), bool)
+        new[1:] = h[1:] != h[:-1]
+        of = np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+        gone = (d != d[of]) | (p != p[of])
+        keep = new & (bucket == gram[-1])
+        first, last = (h[keep], d[keep], p[keep]), gram[-1]
         d, p = d[gone], p[gone]
         # Runs of starts become intervals.
         order = np.lexsort((p, d))
@@ -230,22 +243,12 @@ def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[pa.RecordBatch] = []
     count = 0
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        gram = batch.column(0).to_numpy()
-        last = len(gram) - int(np.argmax(gram[::-1] != gram[-1])) if gram[0] != gram[-1] else 0
-        if last:
-            held.append(batch.slice(0, last))
-            count += last
-            if count >= 8192:
-                yield settle(held)
-                held, count = [], 0
-        elif held and held[-1].column(0)[-1].as_py() != int(gram[0]) and count >= 8192:
+        held.append(batch)
+        count += batch.num_rows
+        if count >= AT_ONCE:
             yield settle(held)
             held, count = [], 0
-        held.append(batch.slice(last))
-        count += batch.num_rows - last
-    if held:
+    if count:
         yield settle(held)
 
 
