@@ -235,6 +235,24 @@ def test_repeats_of_common_lines(spark, monkeypatch, hot):
     check_repeats(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
 
 
+def test_buckets_are_refined_alike_in_small_steps(monkeypatch):
+    import pyarrow as pa
+
+    draw, common = random.Random(4), prose(60).encode()
+    rows = sorted((draw.randint(0, 5), d, 68, 68, prose(9, draw).encode()[:40].ljust(40) + common[:128]) for d in range(200))
+    batch = pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["gram", "doc", "at", "left", "around"])
+
+    def removed(step):
+        monkeypatch.setattr(substring_dedup, "AT_ONCE", step)
+        out = set()
+        for found in substring_dedup._refine(iter([batch.slice(i, 3) for i in range(0, 200, 3)])):
+            for d, lo, hi in zip(*(c.to_pylist() for c in found.columns), strict=True):
+                out |= {(d, p) for p in range(lo, hi)}
+        return out
+
+    assert removed(5) == removed(1000) != set()
+
+
 def test_anchors_of_long_texts_are_those_of_short_ones(monkeypatch):
     data = np.frombuffer(prose(3000).encode(), np.uint8)
     whole = [x.tolist() for x in substring_dedup.anchors(data)]
