@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import identity, text
-from tidemark.schema import REQUIRED, SOURCES
+from tidemark.schema import ALLOWED, REQUIRED, SOURCES
 
 # Names that say nothing (P-10).
 PLACEHOLDERS = ("", "-", "--", "n/a", "na", "none", "null", "unknown", "tbd", "confidential", "?")
@@ -23,7 +23,7 @@ def _value(name: str) -> Column:
 
 
 def _stripped(name: str) -> Column:
-    return text.strip(_value(name))
+    return F.col(f"v.{name}")
 
 
 def shown(value: Column) -> Column:
@@ -55,8 +55,8 @@ def salary(c: Column) -> Column:
     return F.when(~c.isin("", "0"), n.cast("bigint"))
 
 
-def salary_error(c: Column) -> Column:
-    n = salary(c)
+def salary_error(c: Column, n: Column) -> Column:
+    """What is wrong with the given ``c``, read as ``n``."""
     given = c.isNotNull() & ~c.isin("", "0")
     return (
         F.when(given & n.isNull(), F.concat(F.lit("not a number: "), shown(c)))
@@ -75,8 +75,8 @@ def timestamp(c: Column) -> Column:
     return F.coalesce(compact, F.when(epoch.between(-6.2e10, 2.5e11), F.timestamp_seconds(epoch)), iso, mail)
 
 
-def timestamp_error(c: Column, as_of: Column) -> Column:
-    t = timestamp(c)
+def timestamp_error(c: Column, t: Column, as_of: Column) -> Column:
+    """What is wrong with the given ``c``, read as ``t``."""
     return (
         F.when(c.isNotNull() & (c != "") & t.isNull(), F.concat(F.lit("unparseable timestamp "), shown(c)))
         .when(t > as_of + F.expr("INTERVAL 2 DAYS"), F.concat(F.lit("posted more than 2 days in the future ("), t.cast("string"), F.lit(")")))
@@ -94,8 +94,8 @@ def tags_of_text(c: Column) -> Column:
     return F.filter(F.transform(F.split(c, ","), text.strip), lambda t: t != "")
 
 
-def errors(as_of: Column) -> Column:
-    """array<struct<field, message, type, input>>: the first error of every field, then the rule across fields."""
+def errors() -> Column:
+    """Of rows with a payload and its values ``v``: array<struct<field, message, type, input>>: the first error of every field, then the rule across fields."""
     company, title, url = _stripped("company"), _stripped("title"), _stripped("url")
     allowed = ", ".join(f"'{s}'" for s in SOURCES[:-1]) + f" or '{SOURCES[-1]}'"
     source = (
@@ -111,13 +111,13 @@ def errors(as_of: Column) -> Column:
         _text_error("title", F.coalesce(F.when(F.contains(title, F.lit("\n")), F.lit("contains a newline, which means the field was not split correctly")), placeholder(title, "title"))),
         _text_error("location"),
         _text_error("employment_type"),
-        *(F.when(salary_error(_value(f)).isNotNull(), _error(f, salary_error(_value(f)), "value_error", _value(f))) for f in ("salary_min", "salary_max")),
+        *(F.when(F.col(f"v.{f}_error").isNotNull(), _error(f, F.col(f"v.{f}_error"), "value_error", _value(f))) for f in ("salary_min", "salary_max")),
         _text_error("salary_currency"),
-        F.when(timestamp_error(_value("posted_at"), as_of).isNotNull(), _error("posted_at", timestamp_error(_value("posted_at"), as_of), "value_error", _value("posted_at"))),
+        F.when(F.col("v.posted_at_error").isNotNull(), _error("posted_at", F.col("v.posted_at_error"), "value_error", _value("posted_at"))),
     ]
     extra = F.transform("extra_keys", lambda k: F.struct(k.alias("field"), F.lit("Extra inputs are not permitted").alias("message"), F.lit("extra_forbidden").alias("type"), F.lit("None").alias("input")))
     alone = F.concat(F.array_compact(F.array(*found)), extra)
-    low, high = salary(_value("salary_min")), salary(_value("salary_max"))
+    low, high = F.col("v.salary_min"), F.col("v.salary_max")
     order = F.when(low > high, F.array(_error("<root>", F.concat(F.lit("salary_min ("), low.cast("string"), F.lit(") is greater than salary_max ("), high.cast("string"), F.lit(")")), "value_error", F.to_json("payload"))))
     return F.when(F.col("payload").isNull(), F.array().cast(alone_type())).when(F.size(alone) > 0, alone).otherwise(F.coalesce(order, F.array().cast(alone_type())))
 
@@ -143,22 +143,24 @@ def reason_code(code: Column, errors_: Column, reason: Column) -> Column:
     return F.substring(out, 1, 120)
 
 
+TEXTS = ("source", "external_id", "url", "company", "title", "location", "employment_type", "salary_currency", "description_text")
+TYPED = {"salary_min": salary, "salary_max": salary, "posted_at": timestamp, "tags": tags}
+
+
 def judged(records: DataFrame, as_of: Column) -> DataFrame:
     """``records`` with their errors; nothing is dropped."""
-    return text.once(records, "errors", errors(as_of)).withColumn("valid", F.col("payload").isNotNull() & (F.size("errors") == 0))
+    rows = text.once(records, "t", F.struct(*(text.strip(_value(f)).alias(f) for f in TEXTS), *(g(_value(f)).alias(f) for f, g in TYPED.items())))
+    found = [salary_error(_value(f), F.col(f"t.{f}")).alias(f"{f}_error") for f in ("salary_min", "salary_max")]
+    found.append(timestamp_error(_value("posted_at"), F.col("t.posted_at"), as_of).alias("posted_at_error"))
+    rows = text.once(rows, "v", F.struct("t.*", *found)).drop("t")
+    return text.once(rows, "errors", errors()).withColumn("valid", F.col("payload").isNotNull() & (F.size("errors") == 0))
 
 
 def postings(rows: DataFrame) -> DataFrame:
     """The valid ones of :func:`judged`, typed, with their identity hashes."""
     good = rows.filter("valid")
-    texts = {f: _stripped(f) for f in ("source", "external_id", "url", "company", "title", "location", "employment_type", "salary_currency", "description_text")}
-    good = good.select(
-        "task_key", "pos",
-        *(texts[f].alias(f) for f in ("source", "external_id", "url", "company", "title", "location", "employment_type")),
-        salary(_value("salary_min")).cast("int").alias("salary_min"), salary(_value("salary_max")).cast("int").alias("salary_max"),
-        texts["salary_currency"].alias("salary_currency"), tags(_value("tags")).alias("tags"), texts["description_text"].alias("description_text"),
-        timestamp(_value("posted_at")).alias("posted_at"),
-    )
+    whole = {f: F.col(f"v.{f}").cast("int") if f.startswith("salary_m") else F.col(f"v.{f}") for f in ALLOWED}
+    good = good.select("task_key", "pos", *(c.alias(f) for f, c in whole.items()))
     return with_identity(good)
 
 

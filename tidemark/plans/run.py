@@ -167,7 +167,7 @@ def absorb(store: Store, run_id: str, landing: DataFrame, now: datetime, setting
 
     broken = landed.problems(rows).groupBy("task_key").agg(F.min("error").alias("problem"))
     counts = judged.groupBy("task_key").agg(F.count("*").alias("seen"), F.count_if("valid").alias("valid"), F.count_if(~F.col("valid")).alias("bad"))
-    ends = rows.join(broken, "task_key", "left").join(counts, "task_key", "left").join(left.select("task_key", "attempts", F.col("url").alias("planned_url")), "task_key")
+    ends = rows.join(broken, "task_key", "left").join(counts, "task_key", "left").join(left.select("task_key", "attempts", F.col("url").alias("planned_url")), "task_key").persist()
     # A body that can't be read won't get better; a fetch that failed may, until attempts run out.
     permanent = F.col("error").isNull() | ~F.coalesce(F.col("status").isin(*requests.RETRYABLE), F.col("status").isNull()) | (F.col("attempts") >= settings.max_attempts)
     event = F.when(F.col("problem").isNull(), "done").when(permanent, "failed").otherwise("requeued")
@@ -187,6 +187,7 @@ def absorb(store: Store, run_id: str, landing: DataFrame, now: datetime, setting
         return store.commit({"observations": good.join(ok, "task_key", "left_semi"), "quarantine": bad.join(ok, "task_key", "left_semi"), "source_state": state, "ledger": ledger})
     finally:
         judged.unpersist()
+        ends.unpersist()
 
 
 def outcomes(store: Store, run_id: str) -> DataFrame:
