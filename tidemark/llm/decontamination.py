@@ -122,7 +122,8 @@ class Items:
         self.filter = np.zeros(1 << 20, bool)
         self.filter[self.runs & np.uint64((1 << 20) - 1)] = True
         if pairs:
-            flat = np.concatenate([walk(w, np.zeros(1, np.int64), self.sizes[k : k + 1], self.seeds, self.picks) for k, w in enumerate(self.words)]).ravel()
+            self.keys = np.concatenate([walk(w, np.zeros(1, np.int64), self.sizes[k : k + 1], self.seeds, self.picks) for k, w in enumerate(self.words)])
+            flat = self.keys.ravel()
             order = np.argsort(flat, kind="stable")
             self.buckets = flat[order]
             self.bucket_item = order // tables
@@ -130,8 +131,8 @@ class Items:
             self.buckets, self.bucket_item = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.masks = [bit_masks(w) for w in self.words]
 
-    def candidates(self, words: np.ndarray) -> list[tuple[int, int]]:
-        """(item, start of window) of the windows that share a bucket with an item of their size."""
+    def windows(self, words: np.ndarray) -> np.ndarray:
+        """Starts and sizes (two rows) of the windows that may hold an item."""
         found = []
         for q in self.lengths:
             if len(words) < q:
@@ -148,8 +149,9 @@ class Items:
             item = self.run_item[run]
             right = self.run_length[item] == q
             found.append((item[right], (np.repeat(at, many) - self.run_offset[run])[right]))
+        none = np.zeros((2, 0), np.int64)
         if not found:
-            return []
+            return none
         # Key: item, then diagonal. Runs of one passage lie on diagonals at most twice the limit apart.
         spread = np.int64(len(words) + 2 * int(self.sizes.max()))
         item, diagonal = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -158,8 +160,12 @@ class Items:
         near = 2 * self.limits[item]
         enough = np.searchsorted(keys, keys + near, "right") - np.searchsorted(keys, keys - near, "left") >= self.needed[item]
         if not enough.any():
-            return []
-        windows = np.unique(np.stack((np.maximum(diagonal[enough], 0), self.sizes[item[enough]])), axis=1)
+            return none
+        return np.unique(np.stack((np.maximum(diagonal[enough], 0), self.sizes[item[enough]])), axis=1)
+
+    def candidates(self, words: np.ndarray) -> list[tuple[int, int]]:
+        """(item, start of window) of the windows that share a bucket with an item of their size."""
+        windows = self.windows(words)
         out = set()
         for base in range(0, windows.shape[1], 2048):
             start, size = windows[:, base : base + 2048]
@@ -234,18 +240,15 @@ def tables_needed(ids: list[int], texts: list[bytes], target: float = TARGET_REC
         return 1
     draw = random.Random(7)
     picked = [draw.choice(pairs) for _ in range(trials)]
-    copies = []
-    for _, t in picked:
-        w = words_of(np.frombuffer(t, np.uint8))
-        copies.append(edited(w, limit(len(w)), draw))
+    items = Items(list(range(trials)), [t for _, t in picked], MAX_TABLES)
+    first = []  # the first table that finds each simulated copy
+    for k, words in enumerate(items.words):
+        copy = edited(words, limit(len(words)), draw)
+        start, size = items.windows(copy)
+        found = (walk(copy, start, size, items.seeds, items.picks) == items.keys[k]).any(axis=0)
+        first.append(int(found.argmax()) if found.any() else MAX_TABLES)
     tables = 4
-    while tables < MAX_TABLES:
-        found = 0
-        for k, copy in enumerate(copies):
-            alone = Items([k], [picked[k][1]], tables)
-            found += bool(alone.candidates(copy))
-        if found >= target * trials:
-            break
+    while tables < MAX_TABLES and sum(f < tables for f in first) < target * trials:
         tables *= 2
     return tables
 
