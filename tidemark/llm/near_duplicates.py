@@ -13,8 +13,9 @@
 With 40 trees of depth 6, a pair of similarity 0.8 misses every tree with a chance of about 1 in 10,000.
 
 Defined results: a text without words, or null, has the empty set and is linked with nothing. A text of fewer
-words than a shingle has one shingle, all of it. Repeated rows are one class (rows of equal keys too). Ties go
-to the smallest key. An empty table gives an empty result. Extra columns are ignored by :func:`groups`, and
+words than a shingle has one shingle, all of it. Keys are meant to be unique: rows that repeat under one key are one
+document, and each keeps its row (if their texts differ, one of them stands for all in comparisons). A null key is
+linked with nothing but equal sets. Ties go to the smallest key. An empty table gives an empty result. Extra columns are ignored by :func:`groups`, and
 passed through by :func:`keep_first`.
 """
 
@@ -233,10 +234,9 @@ def groups(docs: DataFrame, k: int = 2, key: str = "doc_id", text: str = "text")
 
 
 def keep_first(docs: DataFrame, k: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group, the one of the smallest key, with its columns; one row where rows repeat."""
+    """One document of each group, the one of the smallest key, with its columns."""
     kept = groups(docs, k, key, text).filter("kept").select(F.col(key).alias("_kept")).distinct()
-    out = docs.join(kept.hint("shuffle_hash"), F.col(key).eqNullSafe(F.col("_kept")), "left_semi")
-    return out
+    return docs.join(kept.hint("shuffle_hash"), F.col(key).eqNullSafe(F.col("_kept")), "left_semi")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
