@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-ROWS_PER_BATCH = 256
+BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,10 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Rows here are whole texts, so Arrow batches of the default 10,000 rows would not fit a worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > ROWS_PER_BATCH:
-        spark.conf.set(key, str(ROWS_PER_BATCH))
+    """Bounds Arrow batches by bytes: rows are whole texts here and a few numbers there, so a count of rows fits neither."""
+    now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH_KEY))
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(BATCH_KEY, f"{BATCH_BYTES}b")
 
 
 def shared_dir(spark: SparkSession) -> str:
