@@ -395,6 +395,16 @@ def test_groups_of_many_copies(spark, monkeypatch, leaders):
     assert same == len(rows) if leaders == 4096 else same >= 0.97 * len(rows)
 
 
+def test_groups_far_over_the_limit_are_exact(spark, monkeypatch):
+    """A star whose centre is no leaf's head, with copies linked to nothing else: ten times what a task compares in full."""
+    monkeypatch.setattr(near_duplicates, "REGION_LEADERS", 12)
+    draw = random.Random(21)
+    centre = prose(150, draw)
+    rows = [(i, near(centre, 0.045, draw)) for i in range(120)] + [(5000, centre)] + [(2000 + i, prose(60, draw)) for i in range(30)]
+    got = by_id(near_duplicates.groups(spark.createDataFrame(rows, "doc_id long, text string"), 2))
+    assert {d: (r.n_shingles, r.component_id) for d, r in got.items()} == brute.groups(rows, 2)
+
+
 def test_components(spark):
     draw = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(40)] + [(draw.randint(200, 260), draw.randint(200, 260)) for _ in range(40)] + [(7, 7)]

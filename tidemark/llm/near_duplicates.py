@@ -5,10 +5,13 @@
    their values in that order; neighbours whose longest common prefix has DEPTH values or more are candidates.
 3. Candidates of all trees together fall into regions. A region that fits a task (by the number of its sets
    and of their members) is compared in full: by signature first, then on the full sets, and only between
-   documents that aren't linked yet. In a region that doesn't fit, the forest is descended: it is divided by
+   documents that aren't linked yet. In a region that doesn't fit, the forest is descended first: it is divided by
    longer and longer prefixes of each tree until its parts fit; each part is linked to the part above by the
    pair of leaders at the head of both.
-4. The confirmed links' connected components are the groups.
+4. The descent links most of such a region, not all. So each of its leaves that still holds several components is
+   compared block against block, in tasks of bounded size: the leaders outside the leaf's largest component with
+   one another and with all of that component. Pairs within a component are skipped, so no candidate is dropped.
+5. The confirmed links' connected components are the groups.
 
 With 40 trees of depth 6, a pair of similarity 0.8 misses every tree with a chance of about 1 in 10,000.
 
@@ -122,10 +125,17 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
-def link_region(sets: list[np.ndarray]) -> list[int]:
-    """For each set, the index of the first set of its component; every pair is judged, linked ones aside."""
+def link_region(sets: list[np.ndarray], labels: list[int] | None = None) -> list[int]:
+    """For each set, the index of the first set of its component; every pair is judged, linked ones aside.
+
+    Sets of one label are linked from the start.
+    """
     n = len(sets)
     linker = Linker(n)
+    label = np.arange(n) if labels is None else np.unique(np.array(labels, np.int64), return_inverse=True)[1]
+    heads: dict[int, int] = {}
+    for x, y in enumerate(label.tolist()):
+        linker.parent[x] = heads.setdefault(y, x)
     sigs = np.stack([signature(s) for s in sets]).astype(np.uint16)
     sizes = np.array([len(s) for s in sets])
     # Pairs whose signatures agree least are the last to be tried; under 0.8 - 6 standard deviations, never.
@@ -134,7 +144,7 @@ def link_region(sets: list[np.ndarray]) -> list[int]:
     for i in range(1, n):
         agree = (sigs[:i] == sigs[i]).sum(axis=1)
         low, high = np.minimum(sizes[:i], sizes[i]), np.maximum(sizes[:i], sizes[i])
-        j = np.flatnonzero((agree >= least) & (100 * low >= PERCENT * high))
+        j = np.flatnonzero((agree >= least) & (100 * low >= PERCENT * high) & (label[:i] != label[i]))
         if len(j):
             # The most alike first: most documents are linked at once and need no other check.
             order = j[np.argsort(-agree[j], kind="stable")]
@@ -154,23 +164,24 @@ def link_region(sets: list[np.ndarray]) -> list[int]:
 
 
 def _link(k: int):
-    """Rows (region, doc, text) sorted by region and doc. Out: links from each document to the first of its component."""
+    """Rows (region, doc, text, label) sorted by region and doc. Out: links from each document to the first of its component."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settle() -> pa.RecordBatch:
-            first = link_region(sets)
+            first = link_region(sets, labels)
             rows = [(docs[x], docs[f]) for x, f in enumerate(first) if x != f]
             return pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], names=["a", "b"])
 
-        region, docs, sets = None, [], []
+        region, docs, sets, labels = None, [], [], []
         for batch in batches:
-            for r, doc, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bytescan.texts(batch.column(2)), strict=True):
+            for r, doc, data, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bytescan.texts(batch.column(2)), batch.column(3).to_pylist(), strict=True):
                 if r != region:
                     if docs:
                         yield settle()
-                    region, docs, sets = r, [], []
+                    region, docs, sets, labels = r, [], [], []
                 if not docs or docs[-1] != doc:
                     docs.append(doc)
+                    labels.append(label)
                     sets.append(shingle_set(data, k))
         if docs:
             yield settle()
@@ -191,14 +202,15 @@ def _fits() -> F.Column:
     return (F.col("count") <= REGION_LEADERS) & (F.col("members") <= REGION_MEMBERS)
 
 
-def regions(leaders: DataFrame) -> DataFrame:
-    """region, doc: the parts that are compared in full."""
+def regions(leaders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """region, doc: the parts that are compared in full; and doc: those of regions that don't fit, to be compared by blocks after that."""
     near = common.cut(_shared(leaders, DEPTH).select("doc", "head").distinct(), "leaves")
     of = components(near.select(F.col("doc").alias("a"), F.col("head").alias("b")))
     weighed = of.join(leaders.select(F.col("doc").alias("node"), "n_shingles"), "node")
     size = weighed.groupBy("component").agg(F.count("*").alias("count"), F.sum("n_shingles").alias("members"))
     placed = common.cut(of.join(size, "component").select(F.col("component").alias("region"), F.col("node").alias("doc"), _fits().alias("fits")), "regions")
-    out, rest, depth = placed.filter("fits").select("region", "doc"), placed.filter("NOT fits").select("doc"), DEPTH
+    large = placed.filter("NOT fits").select("doc")
+    out, rest, depth = placed.filter("fits").select("region", "doc"), large, DEPTH
     while depth < VALUES and not rest.isEmpty():
         parts = common.cut(_shared(leaders, depth, rest).withColumn("fits", _fits()), "parts")
         part = lambda x: F.xxhash64(F.lit(depth), x)  # noqa: B023, E731
@@ -207,7 +219,30 @@ def regions(leaders: DataFrame) -> DataFrame:
         out = out.unionAll(parts.filter("NOT fits AND doc <> head").select(F.xxhash64("head", "doc").alias("region"), F.explode(F.array("doc", "head")).alias("doc")))
         rest = parts.filter("NOT fits").select("doc")
         depth += DEEPER
-    return out.distinct()
+    return out.distinct(), large
+
+
+def _blocks(count: F.Column, members: F.Column) -> F.Column:
+    """Blocks of which two make what one task compares."""
+    return F.greatest(F.lit(1), F.ceil(2 * count / REGION_LEADERS), F.ceil(2 * members / REGION_MEMBERS)).cast("int")
+
+
+def _blockwise(leaders: DataFrame, large: DataFrame, found: DataFrame) -> DataFrame:
+    """region, doc, label: pairs of blocks of the leaves at DEPTH that hold several components of ``found`` (node, component).
+
+    The leaders outside a leaf's largest component come first, in ``few`` blocks, the others in ``many``; every block meets each
+    of the first ones. Pairs inside a block are seen there too.
+    """
+    label = large.join(found.withColumnRenamed("node", "doc"), "doc", "left").select("doc", F.coalesce("component", "doc").alias("label"))
+    rows = leaders.join(large, "doc", "left_semi").select("doc", "sig", "n_shingles").mapInArrow(_leaves(DEPTH), "doc bigint, leaf bigint, n bigint")
+    rows = common.cut(rows.join(label, "doc"), "labelled")
+    parts = rows.groupBy("leaf", "label").agg(F.count("*").alias("c"), F.sum("n").alias("m"))
+    leaf = parts.groupBy("leaf").agg(F.max(F.struct("c", "label", "m")).alias("major"), F.sum("c").alias("count"), F.sum("m").alias("members"), F.count("*").alias("labels")).filter("labels > 1")
+    leaf = leaf.select("leaf", F.col("major.label").alias("most"), _blocks(F.col("count") - F.col("major.c"), F.col("members") - F.col("major.m")).alias("few"), _blocks(F.col("major.c"), F.col("major.m")).alias("many"))
+    minor, hashed = F.col("label") != F.col("most"), F.xxhash64("doc")
+    dealt = rows.join(leaf, "leaf").withColumn("block", F.when(minor, F.pmod(hashed, F.col("few"))).otherwise(F.col("few") + F.pmod(hashed, F.col("many"))))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(minor, F.col("few") + F.col("many") - 1).otherwise(F.col("few") - 1)))).filter("block <> other")
+    return dealt.select(F.xxhash64("leaf", F.least("block", "other"), F.greatest("block", "other")).alias("region"), "doc", "label")
 
 
 def groups(docs: DataFrame, k: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -221,10 +256,15 @@ def groups(docs: DataFrame, k: int = 2, key: str = "doc_id", text: str = "text")
     leaders = full.join(classes.select(F.col("leader").alias("doc"), "d1", "d2"), ["doc", "d1", "d2"], "left_semi").dropDuplicates(["doc", "d1", "d2"])
     leaders = common.cut(leaders.select("doc", "n_shingles", "sig"), "leaders")
 
-    parts = common.cut(regions(leaders), "parts")
-    compared = rows.join(parts.hint("shuffle_hash"), "doc").select("region", "doc", "text")
-    links = compared.repartition(F.col("region")).sortWithinPartitions("region", "doc").mapInArrow(_link(k), "a bigint, b bigint")
-    found = components(links)
+    def links(parts: DataFrame) -> DataFrame:
+        compared = rows.join(parts.hint("shuffle_hash"), "doc").select("region", "doc", "text", "label")
+        return compared.repartition(F.col("region")).sortWithinPartitions("region", "doc").mapInArrow(_link(k), "a bigint, b bigint")
+
+    parts, large = regions(leaders)
+    found = components(links(common.cut(parts.withColumn("label", F.col("doc")), "parts")))
+    if not large.isEmpty():
+        more = links(common.cut(_blockwise(leaders, large, found), "blocks"))
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
 
     class_of = classes.join(found.select(F.col("node").alias("leader"), "component"), "leader", "left").select("d1", "d2", F.coalesce("component", "leader").alias("component"))
     out = sketches.select("doc", "n_shingles", "d1", "d2").withColumn("linked", F.col("n_shingles") > 0)
