@@ -145,6 +145,13 @@ def test_templates_go_and_republished_prose_stays(spark):
     assert "the same article" in got[0].text and got[200].text == "Follow us"
 
 
+def test_templates_do_not_depend_on_the_size_of_their_host(spark):
+    rows = [(i, f"http://{host}.example.com/{i}", f"<article><p>{prose(12)}</p>" + ("<div><span>Join our list</span></div>" if i % 1000 < 5 else "") + "</article>") for host, first, n in (("small", 0, 25), ("large", 1000, 200)) for i in range(first, first + n)]
+    rows.append((5000, "http://other.example.com/", "<article><p>own</p><div><span>Join our list</span></div></article>"))
+    got = by_id(html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")), "page_id")
+    assert [i for i, r in got.items() if "Join our list" in r.text] == [5000]
+
+
 # -- 3 ------------------------------------------------------------------------------
 
 PARTS = ["a.b%c@d-e.fr", "@", "a@b", "x@y.z@w.v", " 1.2.3.4", ".5.6.7.8", "300.1.1.1", "4111 1111 1111 1111", "4111-1111-1111-1111", "+1 (555) 123-4567", "+", "+49.30", " ", "-", ".", "12", "0", "é", "https://u:p@h.com/x", "IBAN DE89370400440532013000", "account no: AB-123456", 'token = "a1b2c3d4e5f6a7b8c9"', "\n"]

@@ -3,8 +3,8 @@
 Every page is parsed into elements. The main content is what ``article`` (else ``main``, else the body) holds,
 without what markup itself declares as menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
 and reader comments. Besides, the subtrees of container elements are hashed and counted by host: one that recurs
-with many different articles of its host is part of the site's template and is deleted wherever it occurs. Copies
-of one article count once, and prose inside the main content (paragraphs, headings, tables, lists of an article)
+with many different articles of its host (MIN_ARTICLES, at every size of the host) is part of the site's template and is
+deleted wherever it occurs on that host. Copies of one article count once, and prose inside the main content (paragraphs, headings, tables, lists of an article)
 is never a template, so texts that sites republish stay.
 
 Defined results: null html gives an empty text. Unclosed elements and markup cut off at the end are read as a
@@ -26,9 +26,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import common
 from tidemark.llm.url_filters import host_of
 
-#: A subtree is a template if it occurs with so many different articles of a host, and in such a share of them.
+#: A subtree is a template if it occurs with so many different articles of a host.
 MIN_ARTICLES = 5
-MIN_SHARE = 0.2
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)", re.DOTALL)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:-][\w:.-]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))")
@@ -233,17 +232,18 @@ def _page(html: str | None) -> tuple[Element, list[Element]]:
 
 
 def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """host, subtree, article: one row for each distinct container of a page."""
+    """host, page, subtree, article: one row for each distinct container of a page."""
     for batch in batches:
-        hosts, subtrees, articles = [], [], []
-        for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        hosts, pages, subtrees, articles = [], [], [], []
+        for host, page, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             root, content = _page(html)
             own = set(subtree_hashes(root, content).values())
             article = hashlib.blake2b(" ".join(b for c in content for b in text_of(c)).encode("utf-8", "replace"), digest_size=8).digest()
-            hosts += [host] * (len(own) + 1)
-            subtrees += [b"", *own]
-            articles += [article] * (len(own) + 1)
-        yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(subtrees, pa.binary()), pa.array(articles, pa.binary())], names=["host", "subtree", "article"])
+            hosts += [host] * len(own)
+            pages += [page] * len(own)
+            subtrees += own
+            articles += [article] * len(own)
+        yield pa.record_batch([pa.array(hosts, pa.string()), pa.array(pages, pa.binary()), pa.array(subtrees, pa.binary()), pa.array(articles, pa.binary())], names=["host", "page", "subtree", "article"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,21 +257,19 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
-def extract(pages: DataFrame, key: str = "page_id", min_articles: int = MIN_ARTICLES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract(pages: DataFrame, key: str = "page_id", min_articles: int = MIN_ARTICLES) -> DataFrame:
     """One row per page: ``key``, url, text, n_chars."""
     spark = pages.sparkSession
     common.small_batches(spark)
-    host = host_of(F.col("url"))
-    seen = pages.select(host.alias("host"), "html").mapInArrow(_hash, "host string, subtree binary, article binary").distinct()
-    counts = common.cut(seen.groupBy("host", "subtree").agg(F.count("*").alias("n")), "subtrees")
-    whole = counts.filter(F.octet_length("subtree") == 0).select("host", F.col("n").alias("articles"))
-    often = counts.filter((F.octet_length("subtree") > 0) & (F.col("n") >= min_articles))
-    templates = common.cut(often.join(whole, "host").filter(F.col("n") >= min_share * F.col("articles")).select("host", "subtree"), "templates")
-    # A host's templates are few: each occurs in a share of its articles, and a page has few containers.
-    of_host = templates.groupBy("host").agg(F.collect_list("subtree").alias("templates"))
+    # A page's templates follow from its host and html, so copies of a page share them.
+    rows = pages.select(F.col(key).alias("page_id"), "url", "html", host_of(F.col("url")).alias("host"), F.unhex(F.sha2("html", 256)).alias("page"))
+    seen = common.cut(rows.select("host", "page", "html").mapInArrow(_hash, "host string, page binary, subtree binary, article binary"), "containers")
+    counts = seen.select("host", "subtree", "article").distinct().groupBy("host", "subtree").agg(F.count("*").alias("n"))
+    templates = common.cut(counts.filter(F.col("n") >= min_articles).select("host", "subtree"), "templates")
+    # Gathered for one page at a time, never for a host.
+    of_page = common.cut(seen.join(templates, ["host", "subtree"]).groupBy("host", "page").agg(F.collect_set("subtree").alias("templates")), "page-templates")
     kind = pages.schema[key].dataType.simpleString()
-    rows = pages.select(F.col(key).alias("page_id"), "url", "html", host.alias("host")).join(of_host, "host", "left")
-    out = rows.select("page_id", "url", "html", "templates").mapInArrow(_extract, f"page_id {kind}, url string, text string, n_chars bigint")
+    out = rows.join(of_page.hint("shuffle_hash"), ["host", "page"], "left").select("page_id", "url", "html", "templates").mapInArrow(_extract, f"page_id {kind}, url string, text string, n_chars bigint")
     return out.withColumnRenamed("page_id", key)
 
 
