@@ -376,6 +376,18 @@ def test_mined_rules_block(spark):
     assert all((r.verdict == "block") == (i % 4 == 0) for i, r in got.items())
 
 
+@pytest.mark.parametrize("bad, good", [("/en/forum/casino/{i}", "/en/forum/{w}/{i}"), ("/{w}/en/a/casino", "/{w}/en/a/{w}"), ("/en/forum?kind=casino&n={i}", "/en/forum?kind={w}&n={i}"), ("/b/c/d/e/f/g/h/i/j/k/l/m/n/casino/{i}", "/b/c/d/e/f/g/h/i/j/k/l/m/n/{w}/{i}")])
+def test_rules_are_mined_at_any_depth(spark, bad, good):
+    draw, rows, labels = random.Random(10), [], []
+    for i in range(400):
+        spam = i % 4 == 0
+        rows.append((i, "https://a.example.org" + (bad if spam else good).format(i=i, w=draw.choice(["news", "help", "talk"]))))
+        if i < 300:
+            labels.append((i, 1, int(spam)))
+    got = by_id(url_filters.judge(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")), "page_id")
+    assert all((r.verdict == "block") == (i % 4 == 0) for i, r in got.items())
+
+
 # -- 10 -----------------------------------------------------------------------------
 
 

@@ -50,38 +50,56 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def tokens_of(url: Column, host: Column, path: Column) -> Column:
-    """The URL as a set: scheme, host and each of its parents, leading folders, extension, names of parameters."""
+    """The URL as a set: scheme, host and each of its parents, path segments with and without their place, extension, parameters with and without their value."""
     labels = F.split(host, r"\.")
     parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat(F.lit("host="), F.array_join(F.slice(labels, i, F.size(labels)), ".")))
-    folders = F.slice(F.filter(F.split(path, "/"), lambda s: s != ""), 1, 2)
-    folders = F.transform(folders, lambda s, i: F.concat(F.lit("path"), i.cast("string"), F.lit("="), F.regexp_replace(s, "[0-9]+", "0")))
+    segments = F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), lambda s: F.regexp_replace(s, "[0-9]+", "0"))
+    placed = F.transform(segments, lambda s, i: F.concat(F.lit("path"), i.cast("string"), F.lit("="), s))
+    folders = F.concat(placed, F.transform(segments, lambda s: F.concat(F.lit("path="), s)))
     query = F.regexp_extract(url, r"(?s)\?([^#]*)", 1)
-    names = F.transform(F.filter(F.split(query, "&"), lambda s: s != ""), lambda s: F.concat(F.lit("query="), F.substring_index(s, "=", 1)))
+    parameters = F.filter(F.split(query, "&"), lambda s: s != "")
+    names = F.concat(F.transform(parameters, lambda s: F.concat(F.lit("query="), F.substring_index(s, "=", 1))), F.transform(parameters, lambda s: F.concat(F.lit("query="), s)))
     end = F.regexp_extract(path, r"\.([A-Za-z0-9]{1,5})$", 1)
     ends = F.when(end == "", F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("end="), F.lower(end))))
     scheme = F.array(F.concat(F.lit("scheme="), F.lower(F.substring_index(url, "://", 1))))
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(scheme, parents, folders, ends, names)))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """tokens, anchor, confidence, support of the rules mined from ``labelled`` (tokens, bad)."""
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_pages: int = MIN_PAGES, min_confidence: float = MIN_CONFIDENCE) -> tuple[DataFrame, DataFrame]:
+    """tokens, anchor, confidence, support of the rules mined from ``labelled`` (tokens, bad); and token, class.
+
+    Tokens of the same labelled pages are one class, named by the least of them, and rules are combinations of classes.
+    Any choice of a token from each class of a rule would be a rule of the same pages, so nothing is lost, and combinations
+    don't multiply with the segments of a path that always come together.
+    """
     spark = labelled.sparkSession
-    rows = labelled.select(F.when(F.col("bad"), F.array_append("tokens", F.lit(BAD))).otherwise(F.col("tokens")).alias("items"))
-    rows = common.cut(rows.filter(F.size("items") > 0), "transactions")
+    rows = labelled.filter("size(tokens) > 0 OR bad").select(F.monotonically_increasing_id().alias("id"), "tokens", F.coalesce("bad", F.lit(False)).alias("bad"))
+    rows = common.cut(rows, "transactions")
     n = rows.count()
     if not n:
-        return spark.createDataFrame([], "tokens array<string>, anchor string, confidence double, support double")
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_pages / n)), minConfidence=min_confidence).fit(rows)
+        return spark.createDataFrame([], "tokens array<string>, anchor string, confidence double, support double"), spark.createDataFrame([], "token string, class string")
+    least = min(1.0, max(min_support, min_pages / n))
+    each = rows.select("id", F.explode("tokens").alias("token"))
+    where = each.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y")).filter(F.col("n") >= least * n * (1 - 1e-9))
+    named = where.groupBy("n", "x", "y").agg(F.min("token").alias("class"))
+    classes = common.cut(where.join(named, ["n", "x", "y"]).select("token", "class"), "token-classes")
+    of_row = each.join(classes, "token").groupBy("id").agg(F.collect_set("class").alias("items"))
+    items = F.coalesce("items", F.array().cast("array<string>"))
+    rows = common.cut(rows.join(of_row, "id", "left").select(F.when(F.col("bad"), F.array_append(items, F.lit(BAD))).otherwise(items).alias("items")), "classed")
+    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=min_confidence).fit(rows)
     rules = model.associationRules.filter((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD))
     rules = rules.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
     alone = model.freqItemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
     filed = rules.withColumn("token", F.explode("tokens")).join(alone, "token").groupBy("tokens", "confidence", "support")
-    return common.cut(filed.agg(F.min(F.struct("freq", "token")).alias("least")).select("tokens", F.col("least.token").alias("anchor"), "confidence", "support"), "url-rules")
+    rules = common.cut(filed.agg(F.min(F.struct("freq", "token")).alias("least")).select("tokens", F.col("least.token").alias("anchor"), "confidence", "support"), "url-rules")
+    return rules, classes
 
 
-def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """The distinct ``url`` of ``urls`` (url, tokens) that some rule matches, by an inverted index."""
-    looked = urls.select("url", "tokens", F.explode("tokens").alias("anchor"))
+def matched(urls: DataFrame, rules: DataFrame, classes: DataFrame) -> DataFrame:
+    """The distinct ``url`` of ``urls`` (url, tokens) that some rule matches, by an inverted index; a class is met by any token of it."""
+    wanted = rules.select(F.explode("tokens").alias("class")).distinct()
+    looked = urls.select("url", F.explode("tokens").alias("token")).join(classes.join(wanted, "class", "left_semi"), "token")
+    looked = looked.groupBy("url").agg(F.collect_set("class").alias("tokens")).withColumn("anchor", F.explode("tokens"))
     found = looked.join(rules.select("anchor", F.col("tokens").alias("wanted")), "anchor")
     return found.filter(F.size(F.array_except("wanted", "tokens")) == 0).select("url").distinct()
 
@@ -92,8 +110,8 @@ def judge(pages: DataFrame, labels: DataFrame, key: str = "page_id", label_key:
     rows = pages.select(F.col(key).alias("key"), url, host_of(url).alias("host"), path_of(url).alias("path"))
     rows = rows.withColumn("fit", rule_of(F.col("host"), F.col("path"), rules)).withColumn("tokens", tokens_of(F.col("url"), F.col("host"), F.col("path")))
     bad = labels.filter(F.col("toxic").isNotNull()).groupBy(F.col(label_key).alias("key")).agg((F.max("toxic") > 0).alias("bad"))
-    mined = mine(rows.join(bad, "key").select("tokens", "bad"), **mining)
-    hits = matched(rows.filter("fit IS NULL AND url IS NOT NULL").select("url", "tokens").distinct(), mined).select(F.col("url").alias("hit"))
+    mined, classes = mine(rows.join(bad, "key").select("tokens", "bad"), **mining)
+    hits = matched(rows.filter("fit IS NULL AND url IS NOT NULL").select("url", "tokens").distinct(), mined, classes).select(F.col("url").alias("hit"))
     out = rows.join(hits, F.col("url") == F.col("hit"), "left")
     verdict = F.coalesce("fit.verdict", F.when(F.col("hit").isNotNull(), "block").otherwise("allow"))
     return out.select(F.col("key").alias(key), "host", "path", F.col("fit.rule").alias("rule"), verdict.alias("verdict"))
