@@ -176,6 +176,13 @@ def test_added_kinds_and_masking():
     assert "DE89" not in masked and "me@x.org" not in masked and masked.startswith("see [URL]")
 
 
+def test_cues_in_any_case():
+    for cue in ("Customer ID", "CUSTOMER id", "Social Security", "Tax ID", "License No"):
+        assert pii.find_spans(f"İ {cue}: AB-123456", pii._tests) == [(4 + len(cue), 13 + len(cue), "account")], cue
+    for cue in ("API_Key", "Access_Key", "PassWord"):
+        assert pii.find_spans(f"İ {cue}=a1b2c3d4e5f6a7b8c9", pii._tests) == [(3 + len(cue), 21 + len(cue), "secret")], cue
+
+
 def test_pii_rows(docs, empty):
     got = by_id(pii.find(docs))
     import hashlib

@@ -1,7 +1,7 @@
 """Operator 3: personal data by anchor expansion.
 
 One Aho-Corasick pass over a text finds anchors: at-signs, ``://`` of a scheme, a plus before a digit, pairs of
-digits, and words that announce an identifier. Small deterministic parsers then expand from the anchor to the
+digits, and words that announce an identifier, in any case. Small deterministic parsers then expand from the anchor to the
 boundaries and validate what they found. The four base kinds equal the leftmost, non-overlapping matches of
 their patterns; url, iban, account and secret are added where an anchor announces them.
 
@@ -43,7 +43,7 @@ SECRET_CUES = ("token", "secret", "password", "passwd", "api_key", "apikey", "ac
 
 
 def anchors():
-    """The automaton; its values are (kind of anchor, length)."""
+    """The automaton, for texts in ASCII lower case; its values are (kind of anchor, length)."""
     import ahocorasick
 
     found = ahocorasick.Automaton()
@@ -57,8 +57,7 @@ def anchors():
                 found.add_word(a + joint + b, ("digits", 2 + len(joint)))
     for kind, words in (("account", ACCOUNT_CUES), ("secret", SECRET_CUES), ("iban", ("iban",))):
         for word in words:
-            for shape in {word, word.upper(), word.capitalize()}:
-                found.add_word(shape, (kind, len(shape)))
+            found.add_word(word, (kind, len(word)))
     found.make_automaton()
     return found
 
@@ -80,7 +79,8 @@ def find_spans(text: str, automaton) -> list[tuple[int, int, str]]:
     """(start, end, kind) of all spans, by start, then kind in the order of KINDS."""
     out: list[tuple[int, int, str]] = []
     done = dict.fromkeys(KINDS, 0)
-    for last, (anchor, length) in automaton.iter(text):
+    lowered = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # of bytes: ASCII letters only, offsets stay
+    for last, (anchor, length) in automaton.iter(lowered):
         at = last - length + 1
         if anchor == "at":
             start, floor = at, done["email"]
