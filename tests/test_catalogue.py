@@ -34,6 +34,13 @@ def test_twin(spark, twin, name):
     assert rows_of(out.columns, out.collect()) == expected
 
 
+def test_by_source_counts_every_source(spark, tmp_path):
+    rows = [(i, "a text", ["src3", "src20", "other", None][i % 4], 6) for i in range(8)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [(r.source, r.label, r["count"]) for r in catalogue.QUERIES["by_source"](spark, str(tmp_path)).collect()]
+    assert got == [("src3", "src3", 2), (None, None, 2), ("other", "other", 2), ("src20", "src20", 2)]
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())

@@ -47,10 +47,11 @@ def totals(jobs: DataFrame, quarantine: DataFrame, runs: DataFrame, as_of: Colum
     return out.withColumn("duplicates_collapsed", F.greatest(F.lit(0).cast("bigint"), F.col("jobs") - F.col("distinct_groups")))
 
 
-def by_source(jobs: DataFrame, sources: tuple[str, ...] = SOURCES) -> DataFrame:
-    """A-09: the listed sources, in their order; those without jobs are left out."""
-    out = jobs.filter(F.col("source").isin(*sources)).groupBy("source").agg(F.count("*").alias("count"))
-    return out.select("source", label_of(F.col("source")).alias("label"), "count").orderBy(place_of(F.col("source"), sources))
+def by_source(jobs: DataFrame, sources: tuple[str, ...] = SOURCES, others: bool = False) -> DataFrame:
+    """A-09: the listed sources, in their order; those without jobs are left out. With ``others``, all other sources (null too) follow by name."""
+    listed = jobs if others else jobs.filter(F.col("source").isin(*sources))
+    out = listed.groupBy("source").agg(F.count("*").alias("count"))
+    return out.select("source", label_of(F.col("source")).alias("label"), "count").orderBy(place_of(F.col("source"), sources), "source")
 
 
 def daily(jobs: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
