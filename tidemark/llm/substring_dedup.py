@@ -1,17 +1,16 @@
-"""Operator 5: removal of repeated 100-byte strings by bucket-pointer refinement of a sparse suffix array.
+"""Operator 5: removal of repeated 100-byte strings by minimizer anchors with neighbourhood and window hashes.
 
 Sorting every suffix would shuffle some twenty times the input, so the suffixes sorted are those at anchors:
 positions where the hash of a q-gram is the least of a window, chosen by content alone. Any two equal strings
-of LENGTH bytes hold equal q-grams at equal places, so each repeat shares an anchor. Then, as in bucket-pointer
-refinement:
-
-1. the anchors' suffixes start in buckets of their first q bytes; each also carries the identifier of its
-   neighbourhood, the bucket that refinement by later (and earlier) offsets would end in after reading all that
-   a string of LENGTH bytes around the anchor can hold;
-2. one sort by bucket, then by that identifier, then by place splits the buckets. A suffix that isn't the
-   first of its final bucket repeats its whole neighbourhood. A bucket that stays one final bucket is done;
-3. only buckets that split are refined again, offset by offset: their members (one for each final bucket) fetch
-   their bytes, and every string of LENGTH bytes around them is compared with the earlier ones.
+of LENGTH bytes hold equal q-grams at equal places, so each repeat shares an anchor. This stands in for
+bucket-pointer refinement: nothing is refined by the bucket identifiers of later offsets. Instead:
+
+1. the anchors' suffixes start in buckets of their first q bytes; each also carries the hash of its
+   neighbourhood, all that a string of LENGTH bytes around the anchor can hold;
+2. one sort by bucket, then by that hash, then by place splits the buckets. A suffix that isn't the
+   first of its neighbourhood's repeats it whole. A bucket of one neighbourhood is done;
+3. only in buckets that split, the members (one for each neighbourhood) fetch their bytes, and the hashes of
+   every string of LENGTH bytes around them are compared with the earlier ones.
 
 Buckets with very many members are refined by an aggregation over their strings instead of in one task.
 
