@@ -67,7 +67,7 @@ def personal(text):
     text = text or ""
     digits = lambda s: re.sub("[^0-9]", "", s)
     out = [(m.start(), 0, m.end(), "email") for m in EMAIL.finditer(text)]
-    out += [(m.start(), 1, m.end(), "ip") for m in IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split("."))]
+    out += [(m.start(), 1, m.end(), "ip") for m in IP.finditer(text) if all(re.fullmatch("0*(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])", p) for p in m[0].split("."))]
     out += [(m.start(), 2, m.end(), "card") for m in CARD.finditer(text) if 14 <= len(digits(m[0])) <= 19 and luhn(digits(m[0]))]
     out += [(m.start(), 3, m.end(), "phone") for m in PHONE.finditer(text) if 10 <= len(digits(m[0])) <= 15]
     return ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(out))

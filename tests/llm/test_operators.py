@@ -29,7 +29,7 @@ BASE = prose(120)
 PASSAGE = prose(40)
 TEXTS = [
     BASE, BASE, BASE.upper(), near(BASE, 0.03), near(BASE, 0.05), near(BASE, 0.08), prose(50) + " " + PASSAGE + " " + prose(30), PASSAGE + "\n" + prose(20), None, "", " \n\t ", "one", "ONE", "two words", "x" * 350, "x" * 90,
-    "é" * 120, "a\n" * 300, prose(3000), "ab " * 5000, "émail à b@c.de", "\u2028 \x1c \x85", "0" * 5000, "<|endoftext|> a <|endoftext|>",
+    "é" * 120, "a\n" * 300, prose(3000), "ab " * 5000, "émail à b@c.de", "\u2028 \x1c \x85", "0" * 5000, "<|endoftext|> a <|endoftext|>", "0" * 5000 + "1.1.1.1 " + "9" * 5000 + ".1.1.1", "1" * 9000 + "@" + "+1 " + "2 " * 3000,
 ]
 DOCS = list(enumerate(TEXTS))
 

@@ -95,7 +95,7 @@ def find_spans(text: str, automaton) -> list[tuple[int, int, str]]:
                 start -= 1
             if start < at + 1 and (m := QUAD.match(text, start)):
                 done["ip"] = m.end()
-                if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+                if all(len(p) <= 3 and int(p or "0") <= 255 for p in (q.lstrip("0") for q in m[0].split("."))):
                     out.append((start, m.end(), "ip"))
         elif anchor == "digits":
             if at >= done["card"]:
