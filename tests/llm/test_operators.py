@@ -254,7 +254,7 @@ def test_buckets_are_refined_alike_in_small_steps(monkeypatch):
 
     draw, common = random.Random(4), prose(60).encode()
     rows = sorted((draw.randint(0, 5), d, 68, 68, prose(9, draw).encode()[:40].ljust(40) + common[:128]) for d in range(200))
-    batch = pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["gram", "doc", "at", "left", "around"])
+    batch = pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["gram", "doc", "at", "left", "around"])
 
     def removed(step):
         monkeypatch.setattr(substring_dedup, "AT_ONCE", step)
@@ -267,6 +267,43 @@ def test_buckets_are_refined_alike_in_small_steps(monkeypatch):
     assert removed(5) == removed(1000) != set()
 
 
+def test_bucket_identifiers_tell_suffixes_apart():
+    data = np.frombuffer((prose(400) + "ab" * 200 + prose(50)).encode() * 2, np.uint8)
+    for size in (8, 16, 32, 64):
+        found = substring_dedup.buckets(data, size)
+        want = {}
+        for i, h in enumerate(found.tolist()):
+            assert want.setdefault(data[i : i + size].tobytes(), h) == h
+        assert len(set(found.tolist())) == len(want)
+
+
+def test_buckets_over_the_edges_of_tasks(spark):
+    """Anchors of one bucket and of one neighbourhood dealt to many tasks: what each task can't know is settled after them."""
+    draw = random.Random(14)
+    line = prose(30, draw)
+    rows = [(i, (prose(3, draw) + " " if i % 3 else "") + line + (" " + prose(4, draw) if i % 2 else "")) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(30)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        check_repeats(spark, df)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_repeated_and_null_keys(spark):
+    draw = random.Random(15)
+    a, b = prose(40, draw), prose(40, draw)
+    rows = [(5, a), (5, b), (5, a), (7, a + b), (None, a), (None, a), (-1, b)]
+    got = {(r.doc_id, r.n_bytes): r for r in substring_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[-1, len(b)].n_removed == 0 and got[5, len(b)].n_removed == len(b) and got[5, len(a)].n_removed == 0 and got[None, len(a)].n_removed == 0
+    assert got[7, len(a + b)].n_removed == len(a + b) and got[7, len(a + b)].n_spans == 1
+    with pytest.raises(ValueError, match="integer"):
+        substring_dedup.dedup(spark.createDataFrame([("x", "y")], "doc_id string, text string"))
+
+
 def test_anchors_of_long_texts_are_those_of_short_ones(monkeypatch):
     data = np.frombuffer(prose(3000).encode(), np.uint8)
     whole = [x.tolist() for x in substring_dedup.anchors(data)]

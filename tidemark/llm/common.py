@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import IntegralType, NullType
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -24,14 +25,23 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; only where that is unset (tests), a folder of this machine."""
+    """The folder of spark.checkpoint.dir; where that is unset, a folder of this machine, but only if all of Spark runs on it."""
     where = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         where = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
+def integer_key(df: DataFrame, key: str) -> None:
+    """Operators that return least keys, or order texts by them, need keys of an integer type."""
+    kind = df.schema[key].dataType
+    if not isinstance(kind, IntegralType | NullType):
+        raise ValueError(f"column {key!r} must be of an integer type, not {kind.simpleString()}")
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
 

@@ -1,23 +1,29 @@
-"""Operator 5: removal of repeated 100-byte strings by minimizer anchors with neighbourhood and window hashes.
-
-Sorting every suffix would shuffle some twenty times the input, so the suffixes sorted are those at anchors:
-positions where the hash of a q-gram is the least of a window, chosen by content alone. Any two equal strings
-of LENGTH bytes hold equal q-grams at equal places, so each repeat shares an anchor. This stands in for
-bucket-pointer refinement: nothing is refined by the bucket identifiers of later offsets. Instead:
-
-1. the anchors' suffixes start in buckets of their first q bytes; each also carries the hash of its
-   neighbourhood, all that a string of LENGTH bytes around the anchor can hold;
-2. one sort by bucket, then by that hash, then by place splits the buckets. A suffix that isn't the
-   first of its neighbourhood's repeats it whole. A bucket of one neighbourhood is done;
-3. only in buckets that split, the members (one for each neighbourhood) fetch their bytes, and the hashes of
-   every string of LENGTH bytes around them are compared with the earlier ones.
-
-Buckets with very many members are refined by an aggregation over their strings instead of in one task.
-
-Defined results: a null text counts as empty: nothing is removed, the digest is that of no bytes. Ties go to
-the smaller key, then the earlier start. Keys are meant to be unique; rows that share a key count as one
-document, so equal rows don't remove each other, and each keeps a row. An empty table gives an empty result.
-Extra columns are ignored.
+"""Operator 5: removal of repeated 100-byte strings by bucket-pointer refinement over sparse suffixes.
+
+The suffixes of all texts start in buckets of their first q bytes. A bucket is refined by sorting its suffixes on the
+identifiers of the buckets that they are in q bytes further on; the refined identifiers take the place of the old
+ones at once, so the next refinement looks twice as far: 8, 16, 32, 64 bytes, and LENGTH in the last step. An
+identifier is a 64-bit value made of the two it was refined from, so tasks agree on it without exchanging ranks.
+
+Sorting every suffix in this way would shuffle some twenty times the input. The suffixes that are sorted across the
+cluster are those at anchors: positions whose bucket identifier at 32 bytes is the least of a window, chosen by
+content alone. Any two equal strings of LENGTH bytes hold equal anchors at equal places, so no repeat is missed.
+
+1. Each anchor carries its bucket's identifier and that of its neighbourhood, all that a string of LENGTH bytes
+   around the anchor can hold, refined from the buckets at later offsets. What repeats within a batch is settled there.
+2. One global sort by bucket, neighbourhood and place splits the buckets. It is a range partitioning, so a bucket or
+   neighbourhood of any size lies in as many tasks as it needs; what continues beyond the edge of a task is settled by
+   an aggregation. A suffix that isn't the first of its neighbourhood's repeats it whole; a bucket of one neighbourhood
+   is done.
+3. Only in buckets that split, the members (one for each neighbourhood) fetch their bytes, and the suffixes around
+   them are refined: those alone in their bucket at 32 bytes are done, the others go on to LENGTH bytes. Buckets with
+   very many members are refined by an aggregation instead of in one task.
+
+Defined results: a null text counts as empty: nothing is removed, the digest is that of no bytes. Ties go to the
+smaller key, then the earlier start. Rows of one key and one text are one document: they don't remove each other, and
+each keeps a row. Different texts under one key are parts of one document, in an order of their own; no string
+reaches over two of them. A row with a null key has no place in the order: nothing is removed from it or because of
+it. The key must be of an integer type. An empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,21 +33,52 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytescan, common
 
 LENGTH = 100
+START = 8  # bytes of the first buckets
 GRAM = 32
 SPAN = LENGTH - GRAM  # an anchor lies at most this far behind the start of a string that holds it
 PIECE = 1 << 16
+#: Places of the texts of one key are this far apart.
+TEXTS_APART = 1 << 32
 #: Buckets with more members than this are refined by aggregation.
 HOT_MEMBERS = 20_000
-#: Members that are compared at a time; what is kept of those before is each string's first place.
+#: Members that are refined at a time; what is kept of those before is each string's first place.
 AT_ONCE = 4096
 
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_ODD2 = np.uint64(0xC2B2AE3D27D4EB4F)
+_BYTE_STEP = np.array([256**k for k in range(START)], np.uint64)
+
+
+def first_buckets(data: np.ndarray) -> np.ndarray:
+    """The identifiers of the buckets of the suffixes' first START bytes: those bytes, spread. Works along the last axis."""
+    n = data.shape[-1] - START + 1
+    out = data[..., :n].astype(np.uint64)
+    for k in range(1, START):
+        out |= data[..., k : n + k].astype(np.uint64) << np.uint64(8 * k)
+    return bytescan.mix(out)
+
+
+def refined(bucket: np.ndarray, later: int) -> np.ndarray:
+    """Identifiers refined by those of the buckets at the offset ``later``."""
+    n = bucket.shape[-1] - later
+    out = bucket[..., :n] * _ODD + (bucket[..., later:] ^ (bucket[..., later:] >> np.uint64(31))) * _ODD2
+    out ^= out >> np.uint64(29)
+    return out
+
+
+def buckets(data: np.ndarray, size: int = GRAM) -> np.ndarray:
+    """Identifiers of the buckets of ``size`` bytes (START times a power of two), by refining what the last refinement gave."""
+    out, known = first_buckets(data), START
+    while known < size:
+        out, known = refined(out, known), 2 * known
+    return out
 
 
 def _slide(x: np.ndarray, size: int, best, fill: np.uint64) -> np.ndarray:
@@ -57,27 +94,29 @@ def _slide(x: np.ndarray, size: int, best, fill: np.uint64) -> np.ndarray:
 
 
 def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions of the anchors, hashes of their q-grams, identifiers of their neighbourhoods."""
+    """Positions of the anchors, identifiers of their buckets, identifiers of their neighbourhoods."""
     n = len(data)
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for a in range(0, n - LENGTH + 1, PIECE):
         b = min(a + PIECE, n - LENGTH + 1)  # strings that start in [a, b)
         lo, hi = max(0, a - SPAN), min(n, b + SPAN + LENGTH)
-        part = data[lo:hi]
-        sums = np.empty(len(part) + 1, np.uint64)
-        sums[0] = 0
-        np.cumsum(bytescan.BYTE_VALUE[part] * bytescan.POWER[: len(part)], out=sums[1:])
-        first, last = a - lo, b - 1 + SPAN - lo  # q-grams that those strings hold
-        h = (sums[first + GRAM : last + GRAM + 1] - sums[first : last + 1]) * bytescan.INVERSE[first : last + 1]
-        h = bytescan.mix(h)
-        least = _slide(h, SPAN + 1, np.minimum, _TOP)
+        part = np.zeros(hi - lo + SPAN + LENGTH, np.uint8)
+        part[SPAN : SPAN + hi - lo] = data[lo:hi]
+        h = buckets(part)
+        first, last = a - lo + SPAN, b - 1 + SPAN - lo + SPAN  # suffixes that those strings hold
+        held = bytescan.mix(h[first : last + 1])
+        least = _slide(held, SPAN + 1, np.minimum, _TOP)
         padded = np.zeros(len(least) + 2 * SPAN, np.uint64)
         padded[SPAN : SPAN + len(least)] = least
-        at = np.flatnonzero(h <= _slide(padded, SPAN + 1, np.maximum, np.uint64(0)))
+        at = np.flatnonzero(held <= _slide(padded, SPAN + 1, np.maximum, np.uint64(0)))
         where = at + first
-        left, right = np.minimum(where + lo, SPAN), np.minimum(n - where - lo, LENGTH)
-        around = (sums[where + right] - sums[where - left]) * bytescan.INVERSE[where - left]
-        found.append((where + lo, h[at], bytescan.mix(bytescan.mix(around) + (left * 1000 + right).astype(np.uint64))))
+        # The neighbourhood, SPAN bytes before and LENGTH behind, padded by zeros at the ends of the text, whose distances count.
+        around = h[where - SPAN].copy()
+        for later in (-SPAN + GRAM, -SPAN + 2 * GRAM, 0, GRAM, 2 * GRAM, LENGTH - GRAM):
+            around = bytescan.mix(around * _ODD + h[where + later])
+        place = where - SPAN + lo
+        left, right = np.minimum(place, SPAN), np.minimum(n - place, LENGTH)
+        found.append((place, held[at], bytescan.mix(around + (left * 1000 + right).astype(np.uint64))))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     at, gram, around = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -97,7 +136,10 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[new], ends[np.concatenate((np.flatnonzero(new)[1:] - 1, [len(starts) - 1]))]
 
 
-ANCHOR_SCHEMA = "gram bigint, around bigint, doc bigint, at int, lo int, hi int"
+ANCHOR_SCHEMA = "gram bigint, around bigint, doc bigint, at bigint, sides int"
+#: What _split_buckets gives: an interval to remove (doc, at to until), a member, or a bucket at the edge of a task.
+SPLIT_SCHEMA = "kind tinyint, gram bigint, around bigint, doc bigint, at bigint, until bigint"
+REMOVE, MEMBER, EDGE = 0, 1, 2
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -105,104 +147,154 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of ANCHOR_SCHEMA. What repeats inside one document is settled here: rows with ``at`` -1, to be removed."""
+    """Rows (doc, base, text) to rows of ANCHOR_SCHEMA; ``sides`` is 256 * bytes before + bytes behind.
+
+    What repeats inside one batch is settled here: rows whose ``sides`` is -1, to be removed from ``at`` up to ``around``.
+    """
     for batch in batches:
         rows = []
-        for doc, data in zip(batch.column(0).to_pylist(), bytescan.texts(batch.column(1)), strict=True):
+        for doc, base, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bytescan.texts(batch.column(2)), strict=True):
             at, gram, around = anchors(data)
-            if not len(at):
-                continue
-            lo, hi = np.maximum(at - SPAN, 0), np.minimum(at + LENGTH, len(data))
-            _, first = np.unique(gram ^ (around >> np.uint64(7)) ^ (around << np.uint64(57)), return_index=True)
-            if len(first) < len(at):
-                again = np.ones(len(at), bool)
-                again[first] = False
-                again &= hi - lo >= LENGTH
-                s, e = merged(lo[again], hi[again])
-                spread = bytescan.mix(np.arange(len(s), dtype=np.uint64) + np.uint64(doc & 0xFFFFFFFF) * np.uint64(4099))
-                rows.append((spread, spread, np.full(len(s), doc), np.full(len(s), -1), s, e))
-                first.sort()
-                at, gram, around, lo, hi = at[first], gram[first], around[first], lo[first], hi[first]
-            rows.append((gram, around, np.full(len(at), doc), at, lo, hi))
-        if rows:
-            gram, around, doc, at, lo, hi = (np.concatenate(x) for x in zip(*rows, strict=True))
-            yield pa.record_batch([_signed(gram), _signed(around), pa.array(doc, pa.int64()), *(pa.array(x.astype(np.int32)) for x in (at, lo, hi))], names=["gram", "around", "doc", "at", "lo", "hi"])
+            if len(at):
+                sides = np.minimum(at, SPAN) * 256 + np.minimum(len(data) - at, LENGTH)
+                rows.append((gram, around, np.full(len(at), doc), at + base, sides))
+        if not rows:
+            continue
+        gram, around, doc, at, sides = (np.concatenate(x) for x in zip(*rows, strict=True))
+        # Equal places of equal rows are one; then the first place of each neighbourhood stays.
+        order = np.lexsort((at, doc, around, gram))
+        gram, around, doc, at, sides = gram[order], around[order], doc[order], at[order], sides[order]
+        same = np.zeros(len(gram), bool)
+        same[1:] = (gram[1:] == gram[:-1]) & (around[1:] == around[:-1])
+        again = same & (sides // 256 + sides % 256 >= LENGTH)
+        again[1:] &= (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])
+        head = np.maximum.accumulate(np.where(same, 0, np.arange(len(gram))))
+        again &= (doc != doc[head]) | (at != at[head])
+        gone = np.flatnonzero(again)
+        gone = gone[np.lexsort((at[gone], doc[gone]))]
+        d, s, e = doc[gone], at[gone] - sides[gone] // 256, at[gone] + sides[gone] % 256
+        new = np.ones(len(d), bool)
+        new[1:] = (d[1:] != d[:-1]) | (s[1:] > e[:-1])  # neighbourhoods of one document end in the order of their places
+        last = np.concatenate((new[1:], [True])) if len(d) else new
+        d, s, e = d[new], s[new], e[last]
+        spread = bytescan.mix(d.astype(np.uint64) * np.uint64(4099) + s.astype(np.uint64)).view(np.int64)
+        keep = ~same
+        yield pa.record_batch(
+            [pa.array(np.concatenate(x)) for x in ((spread, gram[keep].view(np.int64)), (e, around[keep].view(np.int64)), (d, doc[keep]), (s, at[keep]), (np.full(len(d), -1, np.int32), sides[keep].astype(np.int32)))],
+            names=["gram", "around", "doc", "at", "sides"],
+        )
 
 
 def _split_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by bucket, neighbourhood and place. Out: intervals to remove (``gram`` null), and, for buckets
-    that split, the first member of each final bucket (``lo`` is its place). What is carried over is one row."""
-    gram0 = around0 = doc0 = at0 = None  # the last leader
-    pending = False  # whether its bucket has not split so far
+    """Rows in the global order of bucket, neighbourhood and place. Out: rows of SPLIT_SCHEMA.
+
+    Members are the first of each neighbourhood in buckets that hold several, or that lie at an edge of this task, which
+    are named as such. Carried over are one row and the name of the first bucket.
+    """
+    edge = gram0 = around0 = doc0 = at0 = until0 = None
+    pending = False  # whether the carried leader is the only one of its bucket so far, and not yet given
+    out: list[tuple] = []
+
+    def give(kind, gram, around, doc, at, until):
+        n = len(doc)
+        if n:
+            out.append((np.full(n, kind, np.int8), gram, around, doc, at, until))
+
+    def flush():
+        columns = [np.concatenate(x) for x in zip(*out, strict=True)]
+        out.clear()
+        return pa.record_batch([pa.array(c) for c in columns], names=["kind", "gram", "around", "doc", "at", "until"])
+
+    one = lambda *x: tuple(np.array([v], np.int64) for v in x)
     for batch in batches:
-        gram, around, doc, at, lo, hi = (c.to_numpy() for c in batch.columns)
+        gram, around, doc, at, sides = (c.to_numpy() for c in batch.columns)
+        local = sides < 0
+        give(REMOVE, gram[local], gram[local], doc[local], at[local], around[local])
+        gram, around, doc, at, sides = (x[~local] for x in (gram, around, doc, at, sides))
         n = len(gram)
-        if not n:
-            continue
-        local = at < 0
-        new_gram = np.ones(n, bool)
-        new_gram[1:] = gram[1:] != gram[:-1]
-        leader = new_gram.copy()
-        leader[1:] |= around[1:] != around[:-1]
-        if gram0 is not None and gram[0] == gram0:
-            new_gram[0] = False
-            leader[0] = around[0] != around0
-        leader &= ~local
-        # The leader of each row, -1 for the one carried over.
-        of = np.maximum.accumulate(np.where(leader, np.arange(n), -1))
-        leader_doc = np.where(of >= 0, doc[of], doc0 if doc0 is not None else -1)
-        leader_at = np.where(of >= 0, at[of], at0 if at0 is not None else -1)
-        gone = local | (~leader & ~((doc == leader_doc) & (at == leader_at)) & (hi - lo >= LENGTH))
-
-        place = np.flatnonzero(leader)
-        out_gram, out_doc, out_at = [], [], []
-        if len(place):
-            g = gram[place]
-            starts = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
-            sizes = np.diff(np.concatenate((starts, [len(g)])))
-            joins = gram0 is not None and g[0] == gram0
-            if joins and pending:
-                out_gram.append([gram0]), out_doc.append([doc0]), out_at.append([at0])
-            keep = np.repeat(sizes > 1, sizes)
-            if joins:
-                keep[: sizes[0]] = True
-            out_gram.append(g[keep]), out_doc.append(doc[place][keep]), out_at.append(at[place][keep])
-            pending = not keep[-1]
-            gram0, doc0, at0 = g[-1], doc[place[-1]], at[place[-1]]
-            around0 = around[place[-1]]
-        s = np.flatnonzero(gone)
-        if len(s):
-            yield pa.record_batch([pa.nulls(len(s), pa.int64()), pa.array(doc[s]), pa.array(lo[s], pa.int32()), pa.array(hi[s], pa.int32())], names=["gram", "doc", "lo", "hi"])
-        if out_gram and sum(map(len, out_gram)):
-            g, d, a = (np.concatenate(x) for x in (out_gram, out_doc, out_at))
-            yield pa.record_batch([pa.array(g, pa.int64()), pa.array(d, pa.int64()), pa.array(a, pa.int32()), pa.nulls(len(g), pa.int32())], names=["gram", "doc", "lo", "hi"])
+        if n:
+            leader = np.ones(n, bool)
+            leader[1:] = (gram[1:] != gram[:-1]) | (around[1:] != around[:-1])
+            if gram0 is not None:
+                leader[0] = gram[0] != gram0 or around[0] != around0
+            of = np.maximum.accumulate(np.where(leader, np.arange(n), -1))
+            first_doc = np.where(of >= 0, doc[of], doc0 if doc0 is not None else 0)
+            first_at = np.where(of >= 0, at[of], at0 if at0 is not None else 0)
+            lo, hi = at - sides // 256, at + sides % 256
+            gone = ~leader & ((doc != first_doc) | (at != first_at)) & (hi - lo >= LENGTH)
+            give(REMOVE, gram[gone], gram[gone], doc[gone], lo[gone], hi[gone])
+            if edge is None:
+                edge = int(gram[0])
+                give(EDGE, *one(edge, 0, 0, 0, 0))
+            place = np.flatnonzero(leader)
+            if len(place):
+                g, s = gram[place], sides[place].astype(np.int64)
+                starts = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
+                sizes = np.diff(np.concatenate((starts, [len(g)])))
+                joins = gram0 is not None and g[0] == gram0
+                if joins and pending:
+                    give(MEMBER, *one(gram0, around0, doc0, at0, until0))
+                keep = np.repeat(sizes > 1, sizes) | (g == edge)
+                if joins:
+                    keep[: sizes[0]] = True
+                give(MEMBER, g[keep], around[place][keep], doc[place][keep], at[place][keep], s[keep])
+                pending = not keep[-1]
+                gram0, around0, doc0, at0, until0 = int(g[-1]), int(around[place[-1]]), int(doc[place[-1]]), int(at[place[-1]]), int(s[-1])
+        if out:
+            yield flush()
+    if gram0 is not None:
+        if pending:
+            give(MEMBER, *one(gram0, around0, doc0, at0, until0))
+        if gram0 != edge:
+            give(EDGE, *one(gram0, 0, 0, 0, 0))
+        if out:
+            yield flush()
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes around each member: gram, doc, at, left (bytes before the anchor), around."""
     for batch in batches:
         grams, docs, places, lefts, parts = [], [], [], [], []
-        for doc, data, own in zip(batch.column(0).to_pylist(), bytescan.texts(batch.column(1)), batch.column(2), strict=True):
+        for doc, base, data, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bytescan.texts(batch.column(2)), batch.column(3), strict=True):
             own = own.values
-            for gram, at in zip(own.field("gram").to_pylist(), own.field("at").to_pylist(), strict=True):
-                lo = max(0, at - SPAN)
-                grams.append(gram), docs.append(doc), places.append(at), lefts.append(at - lo)
-                parts.append(data[lo : at + LENGTH].tobytes())
-        yield pa.record_batch([pa.array(grams, pa.int64()), pa.array(docs, pa.int64()), pa.array(places, pa.int32()), pa.array(lefts, pa.int32()), pa.array(parts, pa.binary())], names=["gram", "doc", "at", "left", "around"])
+            for gram, place in zip(own.field("gram").to_pylist(), own.field("at").to_pylist(), strict=True):
+                at = place - base
+                if 0 <= at < TEXTS_APART:
+                    lo = max(0, at - SPAN)
+                    grams.append(gram), docs.append(doc), places.append(place), lefts.append(at - lo)
+                    parts.append(data[lo : at + LENGTH].tobytes())
+        yield pa.record_batch([pa.array(grams, pa.int64()), pa.array(docs, pa.int64()), pa.array(places, pa.int64()), pa.array(lefts, pa.int32()), pa.array(parts, pa.binary())], names=["gram", "doc", "at", "left", "around"])
 
 
-def strings_around(doc: np.ndarray, at: np.ndarray, left: np.ndarray, around: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, member, document and start of every string of LENGTH bytes that holds a member's anchor."""
+def strings_around(gram: np.ndarray, doc: np.ndarray, at: np.ndarray, left: np.ndarray, around: list[bytes], open_buckets: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bucket identifier at LENGTH bytes, member, document and start of the strings that hold a member's anchor.
+
+    With ``open_buckets`` (identifiers at GRAM bytes, sorted), suffixes alone in their bucket are done and left out, unless the bucket is open.
+    """
     size = np.fromiter(map(len, around), np.int64, len(around))
     width = SPAN + LENGTH
     block = np.frombuffer(b"".join(x.ljust(width, b"\0") for x in around), np.uint8).reshape(len(around), width)
-    sums = np.zeros((len(around), width + 1), np.uint64)
-    np.cumsum(bytescan.BYTE_VALUE[block] * bytescan.POWER[:width], axis=1, out=sums[:, 1:])
-    h = bytescan.mix((sums[:, LENGTH:] - sums[:, : width + 1 - LENGTH]) * bytescan.INVERSE[: width + 1 - LENGTH])
-    start = np.arange(width + 1 - LENGTH)[None, :]
+    known = buckets(block)
+    starts = width - LENGTH + 1
+    start = np.arange(starts)[None, :]
     good = (start + LENGTH <= size[:, None]) & (start <= left[:, None])
     member, start = np.nonzero(good)
-    return h[member, start], member, doc[member], (at - left)[member] + start
+    # Strings of one bucket of anchors are compared, at the same distance from the anchor.
+    own = bytescan.mix(gram.view(np.uint64) + _ODD)[member] + (left[member] - start).astype(np.uint64) * _ODD2
+    if open_buckets is not None:
+        short = bytescan.mix(known[member, start] ^ own)
+        order = np.argsort(short, kind="stable")
+        same = short[order[1:]] == short[order[:-1]]
+        shared = np.zeros(len(short), bool)
+        shared[order[1:]] = same
+        shared[order[:-1]] |= same
+        if len(open_buckets):
+            at_open = np.minimum(np.searchsorted(open_buckets, gram[member]), len(open_buckets) - 1)
+            shared |= open_buckets[at_open] == gram[member]
+        member, start, own = member[shared], start[shared], own[shared]
+    longer = refined(known, GRAM)  # 64 bytes
+    whole = refined(longer, LENGTH - 2 * GRAM)
+    return bytescan.mix(whole[member, start] ^ own), member, doc[member], (at - left)[member] + start
 
 
 def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,10 +306,10 @@ def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def settle(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         nonlocal first, last
         table = pa.Table.from_batches(rows)
-        gram = table.column("gram").to_numpy()
-        doc, at, left = (table.column(k).to_numpy().astype(np.int64) for k in ("doc", "at", "left"))
-        h, member, d, p = strings_around(doc, at, left, table.column("around").to_pylist())
-        h = h ^ bytescan.mix(gram.view(np.uint64))[member]
+        gram, doc, at, left = (table.column(k).to_numpy().astype(np.int64) for k in ("gram", "doc", "at", "left"))
+        # Buckets at the ends may go on in the rows before and behind.
+        ends = np.unique(np.array([gram[0], gram[-1]]))
+        h, member, d, p = strings_around(gram, doc, at, left, table.column("around").to_pylist(), ends)
         bucket = gram[member]
         if gram[0] == last:
             h, d, p = (np.concatenate(x) for x in zip(first, (h, d, p), strict=True))
@@ -237,7 +329,7 @@ def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = np.ones(len(d), bool)
         head[1:] = (d[1:] != d[:-1]) | (p[1:] > p[:-1] + LENGTH)
         tail = np.concatenate((head[1:], [True])) if len(d) else head
-        return pa.record_batch([pa.array(d[head]), pa.array(p[head].astype(np.int32)), pa.array((p[tail] + LENGTH).astype(np.int32))], names=["doc", "lo", "hi"])
+        return pa.record_batch([pa.array(d[head]), pa.array(p[head]), pa.array(p[tail] + LENGTH)], names=["doc", "lo", "hi"])
 
     held: list[pa.RecordBatch] = []
     count = 0
@@ -253,21 +345,23 @@ def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        doc, at, left = (batch.column(k).to_numpy().astype(np.int64) for k in (1, 2, 3))
+        gram, doc, at, left = (batch.column(k).to_numpy().astype(np.int64) for k in range(4))
         if len(doc):
-            h, _, d, p = strings_around(doc, at, left, batch.column(4).to_pylist())
-            yield pa.record_batch([_signed(h), pa.array(d), pa.array(p.astype(np.int32))], names=["string", "doc", "at"])
+            h, _, d, p = strings_around(gram, doc, at, left, batch.column(4).to_pylist())
+            yield pa.record_batch([_signed(h), pa.array(d), pa.array(p)], names=["string", "doc", "at"])
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         size, removed, spans, digests = [], [], [], []
-        for data, own in zip(bytescan.texts(batch.column(1)), batch.column(2), strict=True):
+        for base, data, own in zip(batch.column(1).to_pylist(), bytescan.texts(batch.column(2)), batch.column(3), strict=True):
             n, gone, runs = len(data), 0, 0
             digest = hashlib.sha256()
             at = 0
             if own.is_valid and len(own.values):
-                s, e = merged(own.values.field("lo").to_numpy().astype(np.int64), own.values.field("hi").to_numpy().astype(np.int64))
+                s, e = own.values.field("lo").to_numpy() - base, own.values.field("hi").to_numpy() - base
+                mine = (s >= 0) & (s < TEXTS_APART)
+                s, e = merged(s[mine], e[mine])
                 runs, gone = len(s), int((e - s).sum())
                 for lo, hi in zip(s.tolist(), e.tolist(), strict=True):
                     digest.update(data[at:lo].tobytes())
@@ -277,34 +371,65 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), *(pa.array(x, pa.int64()) for x in (size, removed, spans)), pa.array(digests, pa.string())], names=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
+def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """doc, base, text: ``base`` is where the places of a text begin, other than 0 only where a key has several texts."""
+    common.integer_key(docs, key)
+    rows = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("own"))
+    mixed = rows.filter("doc IS NOT NULL").groupBy("doc").agg(F.min("own").alias("least"), F.max("own").alias("most")).filter("least <> most").select("doc")
+    mixed = common.cut(mixed, "mixed-keys")
+    if mixed.isEmpty():
+        return rows.select("doc", F.lit(0).cast("bigint").alias("base"), "text")
+    texts = rows.join(mixed, "doc", "left_semi").select("doc", "own").distinct()
+    rank = texts.withColumn("base", (F.row_number().over(Window.partitionBy("doc").orderBy("own")) - 1) * F.lit(TEXTS_APART))
+    rank = common.cut(rank.filter("base > 0"), "bases")
+    return rows.join(rank, ["doc", "own"], "left").select("doc", F.coalesce("base", F.lit(0).cast("bigint")).alias("base"), "text")
+
+
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc, lo, hi: byte intervals to remove; they may overlap."""
-    common.small_batches(docs.sparkSession)
-    rows = docs.select(F.coalesce(F.col(key), F.lit(-1)).cast("bigint").alias("doc"), F.col(text).alias("text"))
-    placed = rows.mapInArrow(_anchors, ANCHOR_SCHEMA)
-    placed = placed.repartition(F.col("gram")).sortWithinPartitions("gram", "around", "doc", "at")
-    found = common.cut(placed.mapInArrow(_split_buckets, "gram bigint, doc bigint, lo int, hi int"), "buckets")
-
-    whole = found.filter("gram IS NULL").select("doc", "lo", "hi")
-    left = found.filter("gram IS NOT NULL").select("gram", "doc", F.col("lo").alias("at"))
-    own = left.groupBy("doc").agg(F.collect_list(F.struct("gram", "at")).alias("own"))
-    members = rows.join(own.hint("shuffle_hash"), "doc").mapInArrow(_members, "gram bigint, doc bigint, at int, left int, around binary")
-    members = common.cut(members, "members")
-
-    hot = common.cut(left.groupBy("gram").count().filter(F.col("count") > HOT_MEMBERS).select("gram"), "hot")
-    few = members.join(hot, "gram", "left_anti").repartition(F.col("gram")).sortWithinPartitions("gram")
-    edges = few.mapInArrow(_refine, "doc bigint, lo int, hi int")
-    strings = members.join(hot, "gram", "left_semi").mapInArrow(_strings, "string bigint, doc bigint, at int").distinct()
+    """doc, lo, hi: intervals to remove, of bytes counted from the base of their text (see :func:`_rows`); they may overlap."""
+    return _repeats(_rows(docs, key, text).filter("doc IS NOT NULL"))
+
+
+def _repeats(rows: DataFrame) -> DataFrame:
+    common.small_batches(rows.sparkSession)
+    order = ["gram", "around", "doc", "at"]
+    placed = rows.mapInArrow(_anchors, ANCHOR_SCHEMA).repartitionByRange(*order).sortWithinPartitions(*order)
+    found = common.cut(placed.mapInArrow(_split_buckets, SPLIT_SCHEMA), "buckets")
+    whole = found.filter(F.col("kind") == REMOVE).select("doc", F.col("at").alias("lo"), F.col("until").alias("hi"))
+    members = found.filter(F.col("kind") == MEMBER).select("gram", "around", "doc", "at", F.col("until").alias("sides"))
+
+    # Two buckets a task at most are at its edges. Their neighbourhoods may each have a leader in several tasks.
+    edges = common.cut(found.filter(F.col("kind") == EDGE).select("gram").distinct(), "edges")
+    shared = common.cut(members.join(edges, "gram", "left_semi"), "shared")
+    true = common.cut(shared.groupBy("gram", "around").agg(F.min(F.struct("doc", "at")).alias("first")), "first")
+    later = shared.join(true, ["gram", "around"]).filter(F.struct("doc", "at") != F.col("first"))
+    left, right = F.expr("sides div 256"), F.col("sides") % 256
+    whole = whole.unionAll(later.filter(left + right >= LENGTH).select("doc", (F.col("at") - left).alias("lo"), (F.col("at") + right).alias("hi")))
+    several = true.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
+    split = true.join(several, "gram", "left_semi").select("gram", "first.doc", "first.at")
+    members = common.cut(members.join(edges, "gram", "left_anti").select("gram", "doc", "at").unionAll(split), "split")
+
+    own = members.groupBy("doc").agg(F.collect_list(F.struct("gram", "at")).alias("own"))
+    fetched = rows.join(own.hint("shuffle_hash"), "doc").select("doc", "base", "text", "own").mapInArrow(_members, "gram bigint, doc bigint, at bigint, left int, around binary")
+    fetched = common.cut(fetched, "members")
+
+    hot = common.cut(members.groupBy("gram").count().filter(F.col("count") > HOT_MEMBERS).select("gram"), "hot")
+    few = fetched.join(hot, "gram", "left_anti").repartition(F.col("gram")).sortWithinPartitions("gram")
+    refined_few = few.mapInArrow(_refine, "doc bigint, lo bigint, hi bigint")
+    strings = fetched.join(hot, "gram", "left_semi").mapInArrow(_strings, "string bigint, doc bigint, at bigint").distinct()
     first = strings.groupBy("string").agg(F.min(F.struct("doc", "at")).alias("first"))
-    later = strings.join(first, "string").filter(F.struct("doc", "at") != F.col("first"))
-    return common.cut(whole.unionAll(edges).unionAll(later.select("doc", F.col("at").alias("lo"), (F.col("at") + LENGTH).alias("hi"))), "repeats")
+    repeated = strings.join(first, "string").filter(F.struct("doc", "at") != F.col("first"))
+    out = common.cut(whole.unionAll(refined_few).unionAll(repeated.select("doc", F.col("at").alias("lo"), (F.col("at") + LENGTH).alias("hi"))), "repeats")
+    for old in (found, edges, shared, true, members, fetched, hot):
+        common.drop_table(rows.sparkSession, old)
+    return out
 
 
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``key``, n_bytes, n_removed, n_spans, kept_sha256."""
-    found = repeats(docs, key, text).groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("own"))
-    rows = docs.select(F.coalesce(F.col(key), F.lit(-1)).cast("bigint").alias("doc"), F.col(text).alias("text"))
-    out = rows.join(found.hint("shuffle_hash"), "doc", "left").select("doc", "text", "own").mapInArrow(_cut_out, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    rows = _rows(docs, key, text)
+    found = _repeats(rows.filter("doc IS NOT NULL")).groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("own"))
+    out = rows.join(found.hint("shuffle_hash"), "doc", "left").select("doc", "base", "text", "own").mapInArrow(_cut_out, "doc bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     return out.withColumnRenamed("doc", key)
 
 
