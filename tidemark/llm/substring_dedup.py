@@ -393,8 +393,10 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 def _repeats(rows: DataFrame) -> DataFrame:
     common.small_batches(rows.sparkSession)
     order = ["gram", "around", "doc", "at"]
-    placed = rows.mapInArrow(_anchors, ANCHOR_SCHEMA).repartitionByRange(*order).sortWithinPartitions(*order)
-    found = common.cut(placed.mapInArrow(_split_buckets, SPLIT_SCHEMA), "buckets")
+    # Written first: the ranges are found from a sample, and texts are scanned for anchors once.
+    placed = common.cut(rows.mapInArrow(_anchors, ANCHOR_SCHEMA), "anchors")
+    found = common.cut(placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_split_buckets, SPLIT_SCHEMA), "buckets")
+    common.drop_table(rows.sparkSession, placed)
     whole = found.filter(F.col("kind") == REMOVE).select("doc", F.col("at").alias("lo"), F.col("until").alias("hi"))
     members = found.filter(F.col("kind") == MEMBER).select("gram", "around", "doc", "at", F.col("until").alias("sides"))
 
