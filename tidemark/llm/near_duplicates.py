@@ -1,25 +1,26 @@
 """Operator 10: near duplicates by an LSH forest over MinHash signatures.
 
 1. Each text becomes the set of its word shingles; texts with equal sets are one class, led by the smallest key.
-2. The leaders' signatures are read in several orders, the trees of the forest. In each, leaders are sorted by
-   their values in that order; neighbours whose longest common prefix has DEPTH values or more are candidates.
-3. Candidates of all trees together fall into regions. A region that fits a task (by the number of its sets
-   and of their members) is compared in full: by signature first, then on the full sets, and only between
-   documents that aren't linked yet. In a region that doesn't fit, the forest is descended first: it is divided by
-   longer and longer prefixes of each tree until its parts fit; each part is linked to the part above by the
-   pair of leaders at the head of both.
-4. The descent links most of such a region, not all. So each of its leaves that still holds several components is
-   compared block against block, in tasks of bounded size: the leaders outside the leaf's largest component with
-   one another and with all of that component. Pairs within a component are skipped, so no candidate is dropped.
+2. The leaders' signatures are read in several orders, the trees of the forest. Each tree is sorted by its labels, the
+   values in its order, in one global sort of all trees (a range partitioning, so no leaf has to fit a task). A scan of
+   the sorted rows gives each leader its neighbours and their longest common prefixes. Leaders that share the first
+   DEPTH values are in one leaf, and all pairs of a leaf are candidates.
+3. Depth adapts to the region. First, each leader is compared with the neighbour of its longest common prefix in any tree;
+   where copies are dense that prefix is deep, and these links already join most of them.
+4. Then every leaf at DEPTH that still holds several components is compared block against block, in tasks of bounded
+   size: the leaders outside the leaf's largest component with one another and with all of that component. Pairs within
+   a component are skipped and no pairs are written, but each candidate is judged, whatever the size of its leaf:
+   signatures first, and those that may be alike on their full sets.
 5. The confirmed links' connected components are the groups.
 
-With 40 trees of depth 6, a pair of similarity 0.8 misses every tree with a chance of about 1 in 10,000.
+With 40 trees of depth 6, a pair of similarity 0.8 misses every tree with a chance of about 1 in 10,000. Labels hold one
+byte of each value, which only adds candidates.
 
 Defined results: a text without words, or null, has the empty set and is linked with nothing. A text of fewer
-words than a shingle has one shingle, all of it. Keys are meant to be unique: rows that repeat under one key are one
-document, and each keeps its row (if their texts differ, one of them stands for all in comparisons). A null key is
-linked with nothing but equal sets. Ties go to the smallest key. An empty table gives an empty result. Extra columns are ignored by :func:`groups`, and
-passed through by :func:`keep_first`.
+words than a shingle has one shingle, all of it. Rows of one key are one document, with all their texts: it is linked
+with what any of them is linked with, and each row has its own n_shingles. A null key is
+linked with nothing but equal sets. Ties go to the smallest key. The key must be of an integer type. An empty table gives
+an empty result. Extra columns are ignored by :func:`groups`, and passed through by :func:`keep_first`.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytescan, common
@@ -38,9 +39,10 @@ PERCENT = 80
 VALUES = 160
 TREES = 40
 DEPTH = 6
-DEEPER = 6
-#: What one task compares in full: leaders, and members of their sets (8 bytes each).
-REGION_LEADERS = 4096
+#: Values of a label, one byte each; neighbours are told apart up to so deep.
+DEEPEST = 16
+#: What one task compares: leaders, and members of their sets (8 bytes each).
+REGION_LEADERS = 1024
 REGION_MEMBERS = 4_000_000
 
 _DRAW = np.random.Generator(np.random.PCG64(1007))
@@ -63,13 +65,22 @@ def signature(members: np.ndarray) -> np.ndarray:
     return out
 
 
-def prefix_keys(sig: np.ndarray, depth: int) -> np.ndarray:
-    """For each tree, the hash of the first ``depth`` values in the tree's order; rows are documents."""
-    values = sig.astype(np.uint64)
-    key = np.broadcast_to(np.arange(TREES, dtype=np.uint64), (len(sig), TREES)).copy()
-    for level in range(min(depth, VALUES)):
-        key = bytescan.mix(key * np.uint64(0x9E3779B97F4A7C15) + values[:, ORDERS[:, level]] + np.uint64(1))
-    return key
+def labels(sig: np.ndarray) -> np.ndarray:
+    """For each document (row) and tree, the bytes that the tree is sorted by: its number, then values in its order."""
+    out = np.empty((len(sig), TREES, 1 + DEEPEST), np.uint8)
+    out[:, :, 0] = np.arange(TREES)
+    out[:, :, 1:] = sig.astype(np.uint8)[:, ORDERS[:, :DEEPEST]]
+    return out.reshape(-1, 1 + DEEPEST)
+
+
+def _fixed(values: np.ndarray) -> pa.Array:
+    """A binary column of the rows of a matrix of bytes."""
+    n, width = values.shape
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1) * width).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), width)
 
 
 def _sketch(k: int):
@@ -87,19 +98,60 @@ def _sketch(k: int):
     return sketch
 
 
-def _leaves(depth: int):
-    def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1024):
+            part = batch.slice(at, 1024)
+            sig = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint32).reshape(-1, VALUES)
+            yield pa.record_batch([_fixed(labels(sig)), pa.array(np.repeat(part.column(0).to_numpy(), TREES)), pa.array(np.repeat(part.column(2).to_numpy(), TREES))], names=["label", "doc", "n"])
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (label, doc, n) in the order of the trees' labels. Out: leaf, doc, n, before, common.
+
+    ``before`` is the row before it if they share DEPTH values or more, ``common`` of them. Rows that share no leaf with
+    the one before or behind are left out, but for the first and the last of the task, whose neighbours it can't see.
+    """
+    held = None  # the last row: what is behind it decides
+    schema = ["leaf", "doc", "n", "before", "common"]
+    place = np.array([256**k for k in range(DEPTH, -1, -1)], np.int64)
+
+    def rows(label, doc, n, before, common):
+        leaf = (label[:, : 1 + DEPTH].astype(np.int64) * place).sum(axis=1)
+        return pa.record_batch([pa.array(leaf), pa.array(doc), pa.array(n), pa.array(before, mask=common == 0), pa.array(common)], names=schema)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        label, doc, n = _matrix(batch.column(0), 1 + DEEPEST), batch.column(1).to_numpy(), batch.column(2).to_numpy()
+        shared = np.zeros(len(doc), bool)
+        before, common = np.zeros(len(doc), np.int64), np.zeros(len(doc), np.int32)
+        if held is not None:
+            label, doc, n, before, common, shared = (np.concatenate((x, y)) for x, y in zip(held, (label, doc, n, before, common, shared), strict=True))
+        else:
+            shared[0] = True
+        same = np.cumprod(label[1:] == label[:-1], axis=1, dtype=np.uint8).sum(axis=1, dtype=np.int32) - 1
+        near = same >= DEPTH
+        shared[1:] |= near
+        shared[:-1] |= near
+        before[1:][near] = doc[:-1][near]
+        common[1:][near] = same[near]
+        keep = np.flatnonzero(shared[:-1])
+        if len(keep):
+            yield rows(*(x[keep] for x in (label, doc, n, before, common)))
+        held = tuple(x[-1:].copy() for x in (label, doc, n, before, common, shared))
+    if held is not None:
+        yield rows(*held[:-1])
+
+
+def _sets(k: int):
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(n, VALUES)
-            keys = prefix_keys(sig, depth)
-            docs = np.repeat(batch.column(0).to_numpy(), TREES)
-            sizes = np.repeat(batch.column(2).to_numpy(), TREES)
-            yield pa.record_batch([pa.array(docs), pa.array(keys.ravel().view(np.int64)), pa.array(sizes)], names=["doc", "leaf", "n"])
+            members = [shingle_set(data, k) for data in bytescan.texts(batch.column(1))]
+            sigs = [signature(m).astype(np.uint8).tobytes() for m in members]
+            yield pa.record_batch([batch.column(0), pa.array(list(map(len, members)), pa.int64()), pa.array(sigs, pa.binary()), pa.array([m.tobytes() for m in members], pa.binary())], names=["doc", "n", "sig", "members"])
 
-    return leaves
+    return sets
 
 
 class Linker:
@@ -125,33 +177,43 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
-def link_region(sets: list[np.ndarray], labels: list[int] | None = None) -> list[int]:
+#: Pairs whose signatures agree in fewer values are never tried: 6 standard deviations below what the limit gives.
+LEAST = VALUES * (PERCENT / 100 - 6 * (PERCENT / 100 * (1 - PERCENT / 100) / VALUES) ** 0.5)
+
+
+def _alike(i: int, sigs: np.ndarray, sizes: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sets before ``i``, of other labels, that may be similar to it, and the values in which their signatures agree."""
+    j = np.flatnonzero(label[:i] != label[i])
+    low, high = np.minimum(sizes[j], sizes[i]), np.maximum(sizes[j], sizes[i])
+    j = j[100 * low >= PERCENT * high]
+    agree = (sigs[j] == sigs[i]).sum(axis=1)
+    good = agree >= LEAST
+    return j[good], agree[good]
+
+
+def link_region(sets: list[np.ndarray], sigs: np.ndarray, known: list[int]) -> list[int]:
     """For each set, the index of the first set of its component; every pair is judged, linked ones aside.
 
-    Sets of one label are linked from the start.
+    Sets of one ``known`` label are linked from the start.
     """
     n = len(sets)
     linker = Linker(n)
-    label = np.arange(n) if labels is None else np.unique(np.array(labels, np.int64), return_inverse=True)[1]
+    label = np.unique(np.array(known, np.int64), return_inverse=True)[1]
     heads: dict[int, int] = {}
     for x, y in enumerate(label.tolist()):
         linker.parent[x] = heads.setdefault(y, x)
-    sigs = np.stack([signature(s) for s in sets]).astype(np.uint16)
     sizes = np.array([len(s) for s in sets])
-    # Pairs whose signatures agree least are the last to be tried; under 0.8 - 6 standard deviations, never.
-    least = VALUES * (PERCENT / 100 - 6 * (0.8 * 0.2 / VALUES) ** 0.5)
     tried: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for i in range(1, n):
-        agree = (sigs[:i] == sigs[i]).sum(axis=1)
-        low, high = np.minimum(sizes[:i], sizes[i]), np.maximum(sizes[:i], sizes[i])
-        j = np.flatnonzero((agree >= least) & (100 * low >= PERCENT * high) & (label[:i] != label[i]))
+        j, agree = _alike(i, sigs, sizes, label)
         if len(j):
             # The most alike first: most documents are linked at once and need no other check.
-            order = j[np.argsort(-agree[j], kind="stable")]
-            if similar(sets[order[0]], sets[i]):
-                linker.parent[linker.root(i)] = linker.root(int(order[0]))
-                order = order[1:]
-            tried.append((np.full(len(order), i), order, agree[order]))
+            order = np.argsort(-agree, kind="stable")
+            j, agree = j[order], agree[order]
+            if similar(sets[j[0]], sets[i]):
+                linker.parent[linker.root(i)] = linker.root(int(j[0]))
+                j, agree = j[1:], agree[1:]
+            tried.append((np.full(len(j), i), j, agree))
     if tried:
         i, j, agree = (np.concatenate(x) for x in zip(*tried, strict=True))
         order = np.argsort(-agree, kind="stable")
@@ -163,63 +225,59 @@ def link_region(sets: list[np.ndarray], labels: list[int] | None = None) -> list
     return [first.setdefault(linker.root(x), x) for x in range(n)]
 
 
-def _link(k: int):
-    """Rows (region, doc, text, label) sorted by region and doc. Out: links from each document to the first of its component."""
+def _by_region(batches: Iterator[pa.RecordBatch], settle) -> Iterator[pa.RecordBatch]:
+    """``settle`` (a table) of the rows of each region, which come sorted by it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        region = batch.column(0).to_numpy()
+        starts = np.flatnonzero(np.concatenate(([True], region[1:] != region[:-1]))) if len(region) else []
+        for s, e in zip(starts, [*starts[1:], len(region)], strict=True):
+            if held and held[0].column(0)[0].as_py() != region[s]:
+                yield from settle(pa.Table.from_batches(held))
+                held = []
+            held.append(batch.slice(s, e - s))
+    if held:
+        yield from settle(pa.Table.from_batches(held))
 
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def settle() -> pa.RecordBatch:
-            first = link_region(sets, labels)
-            rows = [(docs[x], docs[f]) for x, f in enumerate(first) if x != f]
-            return pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], names=["a", "b"])
 
-        region, docs, sets, labels = None, [], [], []
-        for batch in batches:
-            for r, doc, data, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), bytescan.texts(batch.column(2)), batch.column(3).to_pylist(), strict=True):
-                if r != region:
-                    if docs:
-                        yield settle()
-                    region, docs, sets, labels = r, [], [], []
-                if not docs or docs[-1] != doc:
-                    docs.append(doc)
-                    labels.append(label)
-                    sets.append(shingle_set(data, k))
-        if docs:
-            yield settle()
-
-    return link
-
-
-def _shared(leaders: DataFrame, depth: int, within: DataFrame | None = None) -> DataFrame:
-    """doc, leaf, n, head (least doc), count, members of the leaves at ``depth`` that hold two leaders or more."""
-    rows = leaders if within is None else leaders.join(within.select("doc").distinct(), "doc", "left_semi")
-    leaves = rows.select("doc", "sig", "n_shingles").mapInArrow(_leaves(depth), "doc bigint, leaf bigint, n bigint")
-
-    w = Window.partitionBy("leaf")
-    return leaves.select("doc", "leaf", F.min("doc").over(w).alias("head"), F.count("*").over(w).alias("count"), F.sum("n").over(w).alias("members")).filter("count > 1")
-
-
-def _fits() -> F.Column:
-    return (F.col("count") <= REGION_LEADERS) & (F.col("members") <= REGION_MEMBERS)
-
-
-def regions(leaders: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """region, doc: the parts that are compared in full; and doc: those of regions that don't fit, to be compared by blocks after that."""
-    near = common.cut(_shared(leaders, DEPTH).select("doc", "head").distinct(), "leaves")
-    of = components(near.select(F.col("doc").alias("a"), F.col("head").alias("b")))
-    weighed = of.join(leaders.select(F.col("doc").alias("node"), "n_shingles"), "node")
-    size = weighed.groupBy("component").agg(F.count("*").alias("count"), F.sum("n_shingles").alias("members"))
-    placed = common.cut(of.join(size, "component").select(F.col("component").alias("region"), F.col("node").alias("doc"), _fits().alias("fits")), "regions")
-    large = placed.filter("NOT fits").select("doc")
-    out, rest, depth = placed.filter("fits").select("region", "doc"), large, DEPTH
-    while depth < VALUES and not rest.isEmpty():
-        parts = common.cut(_shared(leaders, depth, rest).withColumn("fits", _fits()), "parts")
-        part = lambda x: F.xxhash64(F.lit(depth), x)  # noqa: B023, E731
-        out = out.unionAll(parts.filter("fits").select(part("leaf").alias("region"), "doc"))
-        # A part that doesn't fit keeps its documents tied to its head, whatever becomes of the parts below.
-        out = out.unionAll(parts.filter("NOT fits AND doc <> head").select(F.xxhash64("head", "doc").alias("region"), F.explode(F.array("doc", "head")).alias("doc")))
-        rest = parts.filter("NOT fits").select("doc")
-        depth += DEEPER
-    return out.distinct(), large
+def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (region, doc, label, n, sig). Out: region, doc, label of those that may be similar to one of another label."""
+
+    def settle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        sigs, sizes = _matrix(rows.column(4).combine_chunks(), VALUES), rows.column(3).to_numpy()
+        label = np.unique(rows.column(2).to_numpy(), return_inverse=True)[1]
+        good = np.zeros(len(sizes), bool)
+        for i in range(1, len(sizes)):
+            j, _ = _alike(i, sigs, sizes, label)
+            good[j] = True
+            good[i] |= len(j) > 0
+        if good.any():
+            yield pa.record_batch([rows.column(k).combine_chunks().filter(pa.array(good)) for k in range(3)], names=["region", "doc", "label"])
+
+    return _by_region(batches, settle)
+
+
+def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (region, doc, label, sig, members). Out: links from each document to the first of its component."""
+
+    def settle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        sets = [np.frombuffer(m, np.uint64) for m in rows.column(4).to_pylist()]
+        doc = rows.column(1).to_numpy()
+        first = doc[link_region(sets, _matrix(rows.column(3).combine_chunks(), VALUES), rows.column(2).to_pylist())]
+        other = first != doc
+        if other.any():
+            yield pa.record_batch([pa.array(doc[other]), pa.array(first[other])], names=["a", "b"])
+
+    return _by_region(batches, settle)
+
+
+def _links(parts: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) among the documents of each region of ``parts`` (region, doc, label)."""
+    seen = parts.join(sets.select("doc", "n", "sig"), "doc").select("region", "doc", "label", "n", "sig").distinct()
+    seen = seen.repartition(F.col("region")).sortWithinPartitions("region", "doc")
+    alike = common.cut(seen.mapInArrow(_promising, "region bigint, doc bigint, label bigint").distinct(), "alike")
+    full = alike.join(sets.select("doc", "sig", "members"), "doc").select("region", "doc", "label", "sig", "members")
+    return full.repartition(F.col("region")).sortWithinPartitions("region", "doc").mapInArrow(_link, "a bigint, b bigint")
 
 
 def _blocks(count: F.Column, members: F.Column) -> F.Column:
@@ -227,18 +285,20 @@ def _blocks(count: F.Column, members: F.Column) -> F.Column:
     return F.greatest(F.lit(1), F.ceil(2 * count / REGION_LEADERS), F.ceil(2 * members / REGION_MEMBERS)).cast("int")
 
 
-def _blockwise(leaders: DataFrame, large: DataFrame, found: DataFrame) -> DataFrame:
-    """region, doc, label: pairs of blocks of the leaves at DEPTH that hold several components of ``found`` (node, component).
+def _blockwise(places: DataFrame, found: DataFrame) -> DataFrame:
+    """region, doc, label: pairs of blocks of the leaves that hold several components of ``found`` (node, component).
 
     The leaders outside a leaf's largest component come first, in ``few`` blocks, the others in ``many``; every block meets each
-    of the first ones. Pairs inside a block are seen there too.
+    of the first ones. Pairs inside a block are seen there too. Leaves of the same documents are compared once.
     """
-    label = large.join(found.withColumnRenamed("node", "doc"), "doc", "left").select("doc", F.coalesce("component", "doc").alias("label"))
-    rows = leaders.join(large, "doc", "left_semi").select("doc", "sig", "n_shingles").mapInArrow(_leaves(DEPTH), "doc bigint, leaf bigint, n bigint")
-    rows = common.cut(rows.join(label, "doc"), "labelled")
-    parts = rows.groupBy("leaf", "label").agg(F.count("*").alias("c"), F.sum("n").alias("m"))
-    leaf = parts.groupBy("leaf").agg(F.max(F.struct("c", "label", "m")).alias("major"), F.sum("c").alias("count"), F.sum("m").alias("members"), F.count("*").alias("labels")).filter("labels > 1")
+    label = found.select(F.col("node").alias("doc"), "component")
+    rows = common.cut(places.select("leaf", "doc", "n").distinct().join(label, "doc", "left").select("leaf", "doc", "n", F.coalesce("component", "doc").alias("label")), "labelled")
+    sign = lambda salt: F.bit_xor(F.xxhash64("doc", F.lit(salt)))
+    parts = rows.groupBy("leaf", "label").agg(F.count("*").alias("c"), F.sum("n").alias("m"), sign(0).alias("x"), sign(1).alias("y"))
+    leaf = parts.groupBy("leaf").agg(F.max(F.struct("c", "label", "m")).alias("major"), F.sum("c").alias("count"), F.sum("m").alias("members"), F.count("*").alias("labels"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+    leaf = leaf.filter("labels > 1").groupBy("count", "x", "y").agg(F.min(F.struct("leaf", "major", "members")).alias("one")).select("count", "one.*")
     leaf = leaf.select("leaf", F.col("major.label").alias("most"), _blocks(F.col("count") - F.col("major.c"), F.col("members") - F.col("major.m")).alias("few"), _blocks(F.col("major.c"), F.col("major.m")).alias("many"))
+    leaf = common.cut(leaf, "open-leaves")
     minor, hashed = F.col("label") != F.col("most"), F.xxhash64("doc")
     dealt = rows.join(leaf, "leaf").withColumn("block", F.when(minor, F.pmod(hashed, F.col("few"))).otherwise(F.col("few") + F.pmod(hashed, F.col("many"))))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(minor, F.col("few") + F.col("many") - 1).otherwise(F.col("few") - 1)))).filter("block <> other")
@@ -248,23 +308,33 @@ def _blockwise(leaders: DataFrame, large: DataFrame, found: DataFrame) -> DataFr
 def groups(docs: DataFrame, k: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``key``, n_shingles, component_id, kept."""
     spark = docs.sparkSession
+    common.integer_key(docs, key)
     common.small_batches(spark)
     rows = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("text"))
     sketches = common.cut(rows.mapInArrow(_sketch(k), "doc bigint, n_shingles bigint, d1 bigint, d2 bigint, sig binary"), "sketches")
     full = sketches.filter("n_shingles > 0 AND doc IS NOT NULL")
-    classes = common.cut(full.groupBy("d1", "d2").agg(F.min("doc").alias("leader")), "classes")
+    classes = common.cut(full.groupBy("d1", "d2").agg(F.min("doc").alias("leader"), F.count("*").alias("copies")), "classes")
     leaders = full.join(classes.select(F.col("leader").alias("doc"), "d1", "d2"), ["doc", "d1", "d2"], "left_semi").dropDuplicates(["doc", "d1", "d2"])
-    leaders = common.cut(leaders.select("doc", "n_shingles", "sig"), "leaders")
-
-    def links(parts: DataFrame) -> DataFrame:
-        compared = rows.join(parts.hint("shuffle_hash"), "doc").select("region", "doc", "text", "label")
-        return compared.repartition(F.col("region")).sortWithinPartitions("region", "doc").mapInArrow(_link(k), "a bigint, b bigint")
-
-    parts, large = regions(leaders)
-    found = components(links(common.cut(parts.withColumn("label", F.col("doc")), "parts")))
-    if not large.isEmpty():
-        more = links(common.cut(_blockwise(leaders, large, found), "blocks"))
-        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more))
+    forest = common.cut(leaders.select("doc", "sig", F.col("n_shingles").alias("n")).mapInArrow(_forest, "label binary, doc bigint, n bigint"), "forest")
+    ordered = forest.repartitionByRange("label", "doc").sortWithinPartitions("label", "doc")
+    places = common.cut(ordered.mapInArrow(_neighbours, "leaf bigint, doc bigint, n bigint, before bigint, common int"), "places")
+    common.drop_table(spark, forest)
+
+    # The neighbour of the longest common prefix in any tree, on either side.
+    pairs = places.filter("before <> doc").select(F.col("doc").alias("a"), F.col("before").alias("b"), "common")
+    pairs = pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "common"))
+    best = pairs.groupBy("a").agg(F.max(F.struct("common", "b")).alias("best")).select("a", "best.b")
+    best = common.cut(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    wanted = places.select("doc").distinct()
+    sets = common.cut(rows.join(wanted.hint("shuffle_hash"), "doc").mapInArrow(_sets(k), "doc bigint, n bigint, sig binary, members binary"), "sets")
+    parts = best.select(F.xxhash64("a", "b").alias("region"), F.explode(F.array("a", "b")).alias("doc")).withColumn("label", F.col("doc"))
+    found = components(_links(parts, sets))
+    more = _links(common.cut(_blockwise(places, found), "blocks"), sets)
+
+    # A key with several texts is in several classes.
+    mixed = common.cut(full.groupBy("doc").agg(F.min("d1").alias("least"), F.max("d1").alias("most")).filter("least <> most").select("doc"), "mixed-keys")
+    same = full.join(mixed, "doc", "left_semi").join(classes, ["d1", "d2"]).select(F.col("doc").alias("a"), F.col("leader").alias("b"))
+    found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more).unionAll(same))
 
     class_of = classes.join(found.select(F.col("node").alias("leader"), "component"), "leader", "left").select("d1", "d2", F.coalesce("component", "leader").alias("component"))
     out = sketches.select("doc", "n_shingles", "d1", "d2").withColumn("linked", F.col("n_shingles") > 0)
@@ -275,8 +345,17 @@ def groups(docs: DataFrame, k: int = 2, key: str = "doc_id", text: str = "text")
 
 def keep_first(docs: DataFrame, k: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group, the one of the smallest key, with its columns."""
-    kept = groups(docs, k, key, text).filter("kept").select(F.col(key).alias("_kept")).distinct()
-    return docs.join(kept.hint("shuffle_hash"), F.col(key).eqNullSafe(F.col("_kept")), "left_semi")
+    kept = groups(docs, k, key, text).filter("kept").select(F.col(key).alias("key")).distinct()
+    kept = kept.select(F.struct("key").alias(_free(docs, "kept")))
+    return docs.join(kept.hint("shuffle_hash"), F.col(key).eqNullSafe(kept[kept.columns[0]]["key"]), "left_semi")
+
+
+def _free(df: DataFrame, name: str) -> str:
+    """``name``, longer where the columns of ``df`` hold it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
