@@ -131,7 +131,10 @@ HTML = [
     ("<article><p><b>title<br><p>next</article>", "title next"),
     ("<article><ul><li>a<li>b</ul><table><tr><td>c<td>d</table></article>", "a b c d"),
     ("<article><header><h1>Head</h1><span>by me</span></header><p>t</p><section class='reader-comments'>no</section></article>", "Head t"),
-    ("<article>one</article><article>two</article>", "one two"), (None, ""), ("", ""), ("no markup", "no markup"), ("<p>" * 3000 + "deep", "deep"), ("<div>" * 300 + "deep", "deep"),
+    ("<article>one</article><article>two</article>", "one two"), (None, ""), ("", ""), ("no markup", "no markup"), ("<p>" * 3000 + "deep", "deep"), ("<div>" * 100_000 + "deep", "deep"), ("<b>" * 50_000 + "<p>x</p>" * 3 + "<article>" * 20_000, ""), ("<ul><li>" * 30_000 + "x", "x"),
+    ("<article><p>main</p><ol class='comment-list'><li>a</li></ol><article class='comment-body'>I am a reader comment</article></article>", "main"), ("<article><p>main</p><div hidden>no</div></article>", "main"),
+    ("<div class='elementor-widget widget'><article><p>text</p></article></div>", "text"), ("<article><p>a</p><section id='discussion'>d</section><div class='social-history'>s</div></article>", "a d s"),
+    ("<form><div class='x widget'><p>no</p></div><main><p>yes</p></main></form>", "yes"), ("<article><header>x<h1>a<i>b</i></h1>y<h2>c</h2></header>d</article>", "ab c d"),
 ]
 
 
@@ -156,6 +159,67 @@ def test_templates_go_and_republished_prose_stays(spark):
     assert "the same article" in got[0].text and got[200].text == "Follow us"
 
 
+def plain_page(rows, min_articles):
+    """A plain twin for pages of nested divs without attributes: page -> text, by sets of nested tuples."""
+    from html.parser import HTMLParser
+
+    class Tree(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.path = [[]]
+
+        def handle_starttag(self, tag, attrs):
+            self.path.append([tag])
+
+        def handle_endtag(self, tag):
+            done = tuple(self.path.pop())
+            self.path[-1].append(done)
+
+        def handle_data(self, data):
+            self.path[-1].append(data)
+
+    def below(x):
+        return [x, *(z for y in x if isinstance(y, tuple) for z in below(y))]
+
+    def texts(x, gone):
+        return [] if x in gone else [x] if isinstance(x, str) else [t for y in x[1:] for t in texts(y, gone)]
+
+    trees = {}
+    for i, host, html in rows:
+        tree = Tree()
+        tree.feed(html)
+        trees[i] = host, ("root", *tree.path[0])
+    seen = {}
+    for host, tree in trees.values():
+        article = tuple(sorted(texts(tree, ()), key=lambda t: (-len(t), t))[:2])
+        for x in below(tree)[1:]:
+            if x[0] == "div":
+                seen.setdefault((host, x), set()).add(article)
+    return {i: " ".join(texts(tree, {x for (h, x), n in seen.items() if h == host and len(n) >= min_articles})) for i, (host, tree) in trees.items()}
+
+
+def test_templates_are_found_by_count_alone(spark):
+    """Every tag a div, every name another on each page: menus, footers and side boxes still go, by their counts."""
+    draw, rows, want = random.Random(17), [], {}
+    sites = {f"s{k}.example.com": [[prose(draw.randint(1, 3), draw) for _ in range(5)] for _ in range(3)] for k in range(3)}
+    for i in range(60):
+        host = draw.choice(list(sites))
+        menu, box, foot = sites[host]
+        div = lambda *x: f"<div class='{draw.getrandbits(40):x}'>{''.join(x)}</div>"  # noqa: B023, E731
+        own = [prose(draw.randint(15, 30), draw) for _ in range(draw.randint(2, 4))] if i % 20 else ["one article " * 9, "that the site shows twice " * 9]
+        list_ = div(*(div(m) for m in menu), div(prose(2, draw))) if i % 3 else div(*map(div, menu))  # some menus name the page, so only their entries recur
+        page = list_ + div(*map(div, own[:1]), div(*map(div, box)), *map(div, own[1:])) + div(*map(div, foot))
+        rows.append((i, host, page))
+        want[i] = " ".join(own)
+    frame = spark.createDataFrame([(i, f"http://{h}/{i}", p) for i, h, p in rows], "page_id long, url string, html string")
+    got = {i: r.text for i, r in by_id(html_text.extract(frame), "page_id").items()}
+    assert got == {i: " ".join(t.split()) for i, t in plain_page(rows, html_text.MIN_ARTICLES).items()}
+    boilerplate = {t for site in sites.values() for part in site for t in part}
+    assert all(" ".join(want[i].split()[:12]) in t and len(t.split()) - len(want[i].split()) <= 2 for i, t in got.items()) and boilerplate
+    with_no_counts = {i: r.text for i, r in by_id(html_text.extract(frame, min_articles=10**9), "page_id").items()}
+    assert all(len(with_no_counts[i]) > len(got[i]) for i in got)
+
+
 def test_templates_do_not_depend_on_the_size_of_their_host(spark):
     rows = [(i, f"http://{host}.example.com/{i}", f"<article><p>{prose(12)}</p>" + ("<div><span>Join our list</span></div>" if i % 1000 < 5 else "") + "</article>") for host, first, n in (("small", 0, 25), ("large", 1000, 200)) for i in range(first, first + n)]
     rows.append((5000, "http://other.example.com/", "<article><p>own</p><div><span>Join our list</span></div></article>"))
