@@ -84,5 +84,9 @@ def edit_distance(pattern, text):
     return min(above)
 
 
+NO_SPACES = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u9fff\uf900-\ufaff\U00020000-\U00033fff"
+UNIT = re.compile(f"[{NO_SPACES}]|(?:(?![{NO_SPACES}\u3000-\u303f])[0-9a-z\x80-\U0010ffff])+")
+
+
 def words(text):
-    return re.findall(r"[0-9a-z\x80-\U0010ffff]+", (text or "").lower())
+    return UNIT.findall((text or "").lower())

@@ -291,6 +291,56 @@ def test_leaks(spark, docs, empty):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, _ in DOCS} - {d for d, _ in got}
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    question = "東京の人口は何人ですか。また、面積はどのくらいですか"
+    items = [(0, "What is 2 + 2?"), (1, question), (2, "two words"), (3, "ประเทศไทยมีกี่จังหวัด"), (4, "word")]
+    docs = [(0, "so: what is 2+2 then"), (1, "what is 2 + 3?"), (2, "前置き" + question.replace("何", "幾") + "後書き"), (3, "東京の天気は晴れです"), (4, "two words word"), (5, "xประเทศไทยมีกี่จังหวัดx"), (6, None), (0, "so: what is 2+2 then")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("lowered", F.lit(1)).withColumn("_lowered", F.lit(1)).withColumn("key", F.lit(1))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in decontamination.leaks(frame, benchmark).collect()) == [(0, 0), (0, 0), (2, 1), (5, 3)]
+    kept = decontamination.clean(frame, benchmark)
+    assert kept.columns == frame.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3, 4, 6]
+
+
+def test_words_are_those_of_plain_python():
+    for text in ("a b", "Ünï 1x-y", "東京 tower。とう", "", " ", "ไทย", "x東y", "𠀀𠀁a", "\u3000"):
+        want = brute.words(text)
+        got = decontamination.words_of(np.frombuffer(text.lower().encode(), np.uint8)).tolist()
+        assert len(got) == len(want) and len(set(got)) == len(set(want)), text
+
+
+def test_windows_at_run_clusters_lose_nothing(monkeypatch):
+    """All windows of the item's size, at every word, give the same leaks as those laid out from shared runs."""
+    draw = random.Random(41)
+    words = [np.array([draw.getrandbits(63) for _ in range(n)], np.uint64) for n in (3, 5, 9, 14, 30, 59, 120)]
+    texts = [" ".join(f"w{w}" for w in x.tolist()).encode() for x in words]
+    items = decontamination.Items(list(range(len(texts))), texts, decontamination.tables_needed(list(range(len(texts))), texts))
+    docs = []
+    for _ in range(60):
+        parts = []
+        for _ in range(3):
+            own = items.words[draw.randrange(len(texts))]
+            parts += [np.array([draw.getrandbits(63) for _ in range(draw.randint(0, 20))], np.uint64), decontamination.edited(own, draw.randint(0, max(1, len(own) // 4)), draw)]
+        docs.append(np.concatenate(parts))
+    seeded = [{k for k, *_ in items.hits(d)} for d in docs]
+
+    def everywhere(self, text):
+        pairs = [(s, n) for n in sorted(set(self.sizes.tolist())) for s in range(max(1, len(text)))]
+        return np.array(pairs, np.int64).T
+
+    monkeypatch.setattr(decontamination.Items, "windows", everywhere)
+    every = [{k for k, *_ in items.hits(d)} for d in docs]
+    exact = [{k for k, w in enumerate(items.words) if brute.edit_distance(w.tolist(), d.tolist()) <= decontamination.limit(len(w))} for d in docs]
+    assert all(a <= b for a, b in zip(every, exact, strict=True)) and sum(map(len, exact)) > 60
+    assert sum(map(len, seeded)) >= sum(map(len, every)) and sum(map(len, seeded)) >= 0.99 * sum(map(len, exact))
+
+
+def test_tables_that_never_reach_the_recall_are_an_error(monkeypatch):
+    monkeypatch.setattr(decontamination, "MAX_TABLES", 2)
+    with pytest.raises(RuntimeError, match="simulated"):
+        decontamination.tables_needed([1], [prose(40).encode()])
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 4), min_size=1, max_size=12), st.lists(st.integers(0, 4), max_size=20))
 def test_bit_parallel_edit_distance(pattern, text):

@@ -1,18 +1,22 @@
 """Operator 4: benchmark decontamination by the CGK embedding and bit-sampling LSH.
 
-Texts and items are read as words (runs of letters, digits and bytes beyond ASCII, lower-cased). A passage of a
-document leaks an item of L words if its edit distance to the item, in words, is at most a fifth of L. Windows
+Texts and items are read as words: runs of letters, digits and bytes beyond ASCII, lower-cased; in scripts that put no
+spaces between words (Chinese, Japanese, Thai, Lao, Burmese, Khmer), each character is one. A passage of a
+document leaks an item of L words if its edit distance to the item, in words, is at most a fifth of L, so items of three and
+four words must be there unchanged. Windows
 of the item's size are embedded by the CGK random walk, which turns a few edits into a small Hamming distance;
-each of several tables samples a few positions of one walk, and a window that falls into an item's bucket in any
+each of several tables samples a few steps of one walk, of those on which it is still inside the window, and a window
+that falls into an item's bucket in any
 table is a candidate. The number of tables is raised until simulated edits at the limit are found with the
-target recall. Candidates are verified by the exact edit distance.
+target recall; if no number reaches it, that is an error. Candidates are verified by the exact edit distance.
 
 Where windows begin: an edit spoils at most q of an item's L - q + 1 runs of q words, so a passage within k edits
 shares at least L - q + 1 - k q of them with its item, on diagonals at most 2 k apart. Windows are laid out from
-such clusters only, which loses nothing; what becomes a candidate is up to the walk. Items are read in blocks of bounded size, and each block
+such clusters only, which loses nothing (a test compares with windows at every word); what becomes a candidate is up to the walk.
+Items are read in blocks of bounded size, and each block
 is sent to the workers in full, so the documents are scanned once a block and never shuffled.
 
-Defined results: null texts and items, and items of fewer than MIN_WORDS words, match nothing. Repeated rows of
+Defined results: null texts and items, and items of one or two words, which clean texts hold by chance, match nothing. Repeated rows of
 documents give repeated hits, one for each row; repeated items one for each item_id. Empty tables give empty
 results. Extra columns are ignored by :func:`leaks` and passed through by :func:`clean`.
 """
@@ -30,29 +34,48 @@ from pyspark.sql import functions as F
 from tidemark.llm import bytescan, common
 
 EDIT_SHARE = 5  # one edit for every so many words of the item
-MIN_WORDS = 5
+MIN_WORDS = 3
 RUN = 3
-WALK = 3  # steps of the walk for each word
+#: Steps that may be sampled for each word of a window. The walk takes two for a word, so it is about four fifths through by then.
+INSIDE = 1.6
 SAMPLED = 3
 TARGET_RECALL = 0.99
-MAX_TABLES = 64
+MAX_TABLES = 1024
 BLOCK_BYTES = 16 << 20
 
 _NOT_WORD = np.ones(256, bool)
 _NOT_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
+def _alone(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and sizes of the characters that are words of their own: those of scripts without spaces."""
+    after = np.concatenate((data[1:], np.zeros(1, np.uint8)))
+    thai, burmese_khmer = (data == 0xE0) & (after >= 0xB8) & (after <= 0xBB), (data == 0xE1) & ((after >= 0x80) & (after <= 0x82) | (after == 0x9E) | (after == 0x9F))
+    han = (data == 0xE3) & (after >= 0x81) | (data >= 0xE4) & (data <= 0xE9) | (data == 0xEF) & (after >= 0xA4) & (after <= 0xAB) | (data == 0xF0) & (after >= 0xA0) & (after <= 0xB3)
+    at = np.flatnonzero(thai | burmese_khmer | han)
+    return at, np.where(data[at] == 0xF0, 4, 3)
+
+
 def words_of(data: np.ndarray) -> np.ndarray:
     """Hashes of the words of a text."""
-    if not len(data):
+    n = len(data)
+    if not n:
         return np.zeros(0, np.uint64)
-    out = _NOT_WORD[data]
-    edge = np.flatnonzero(out[1:] != out[:-1]) + 1
-    if not out[0]:
-        edge = np.concatenate(([0], edge))
-    if not out[-1]:
-        edge = np.concatenate((edge, [len(data)]))
-    return bytescan.span_hashes(data, edge[0::2], edge[1::2], bytescan.BYTE_VALUE_LOWER)
+    word = ~_NOT_WORD[data]
+    begins = np.zeros(n + 1, bool)
+    begins[1:n] = word[1:] != word[:-1]
+    if (data >= 0xE0).any():
+        at, size = _alone(data)
+        begins[at] = True
+        begins[np.minimum(at + size, n)] = True
+        mark = np.flatnonzero((data[:-2] == 0xE3) & (data[1:-1] == 0x80))  # space and punctuation, U+3000 to U+303F
+        word[mark] = word[mark + 1] = word[mark + 2] = False
+        begins[1:n] |= word[1:] != word[:-1]
+    begins[0] = begins[n] = True
+    edge = np.flatnonzero(begins)
+    starts, ends = edge[:-1], edge[1:]
+    own = word[starts]
+    return bytescan.span_hashes(data, starts[own], ends[own], bytescan.BYTE_VALUE_LOWER)
 
 
 def limit(n_words: int) -> int:
@@ -67,7 +90,7 @@ def run_length(n_words: int) -> int:
 def walk(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray, seeds: np.ndarray, picks: np.ndarray) -> np.ndarray:
     """Bucket keys, windows by tables, of windows of ``words``.
 
-    ``picks`` (tables by samples) are fractions of the walk, so that each size of window has its own sampled
+    ``picks`` (tables by samples) are fractions of the steps INSIDE, so that each size of window has its own sampled
     steps. At each step the walk writes the word under it, and moves on if a random bit of (table, step, word)
     is one; beyond the window it writes nothing more.
     """
@@ -78,7 +101,7 @@ def walk(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray, seeds: np.nda
     padded = np.concatenate((words, np.zeros(1, np.uint64)))
     at = np.zeros((n, tables), np.int64)
     sizes, starts = sizes[:, None], starts[:, None]
-    wanted = (picks[None, :, :] * (sizes * WALK)[:, :, None]).astype(np.int64)
+    wanted = (picks[None, :, :] * (sizes * INSIDE)[:, :, None]).astype(np.int64)
     last = np.minimum(starts + sizes, len(words))
     for step in range(int(wanted.max()) + 1):
         place = starts + at
@@ -240,17 +263,16 @@ def tables_needed(ids: list[int], texts: list[bytes], target: float = TARGET_REC
         return 1
     draw = random.Random(7)
     picked = [draw.choice(pairs) for _ in range(trials)]
-    items = Items(list(range(trials)), [t for _, t in picked], MAX_TABLES)
-    first = []  # the first table that finds each simulated copy
-    for k, words in enumerate(items.words):
-        copy = edited(words, limit(len(words)), draw)
-        start, size = items.windows(copy)
-        found = (walk(copy, start, size, items.seeds, items.picks) == items.keys[k]).any(axis=0)
-        first.append(int(found.argmax()) if found.any() else MAX_TABLES)
+    copies = None
     tables = 4
-    while tables < MAX_TABLES and sum(f < tables for f in first) < target * trials:
+    while tables <= MAX_TABLES:
+        items = Items(list(range(trials)), [t for _, t in picked], tables)
+        copies = copies or [edited(words, limit(len(words)), draw) for words in items.words]
+        found = sum(bool((walk(copy, *items.windows(copy), items.seeds, items.picks) == items.keys[k]).any()) for k, copy in enumerate(copies))
+        if found >= target * trials:
+            return tables
         tables *= 2
-    return tables
+    raise RuntimeError(f"{MAX_TABLES} tables find less than {target} of the simulated copies")
 
 
 def _blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[tuple[list, list[bytes]]]:
@@ -259,7 +281,7 @@ def _blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[tuple[list, l
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-size // BLOCK_BYTES))
     for b in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b).collect()
+        rows = items.filter(F.pmod(F.xxhash64("key", "text"), F.lit(blocks)) == b).collect()
         rows.sort(key=lambda r: (r["key"] is None, r["key"], r["text"]))
         yield [r["key"] for r in rows], [r["text"].encode() for r in rows]
 
@@ -296,7 +318,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFram
     spark = docs.sparkSession
     common.small_batches(spark)
     marked = len(docs.columns)
-    lowered = docs.select("*", F.lower(F.col(text)).alias("_lowered"))
+    extra = "lowered"
+    while extra in {c.lower() for c in docs.columns}:
+        extra += "_"
+    lowered = docs.select("*", F.lower(F.col(text)).alias(extra))
     for ids, texts in _blocks(benchmark, "item_id", "text"):
         shared = spark.sparkContext.broadcast((ids, texts, tables_needed(ids, texts)))
 
@@ -307,7 +332,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFram
                 yield batch.filter(pa.array(good, pa.bool_()))
 
         lowered = lowered.mapInArrow(keep, lowered.schema)
-    return lowered.drop("_lowered")
+    return lowered.drop(extra)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
