@@ -1,12 +1,14 @@
 """Operator 1: token counts by a digest cache.
 
-Every text is reduced to the digest of its normalised content. Counts already stored for that digest and this
+Every text is reduced to the digest of its normalised content (null becomes empty; any other change of a text would
+change its tokens). Counts already stored for that digest and this
 version of the tokenizer are joined; only distinct texts that are missing are encoded, once each, and their
-counts are appended to the cache, a Parquet table partitioned by tokenizer version.
+counts are appended to the cache, a Parquet table. Of the cache only the digests at hand are read into the join, so a run's
+work doesn't grow with what runs before it stored, but for one scan of digests.
 
 Defined results: a null text counts as an empty one (0 bytes, 0 tokens). Repeated rows each keep a row of their
 own, with the same count. An empty table gives an empty result. Columns other than the key and the text are not
-read, so clashing names do no harm. Texts of any length are encoded whole: long ones are cut, for memory, only
+read, so clashing names do no harm. Texts of any length are encoded whole: for byte-level tokenizers long ones are cut, for memory, only
 before a single space between two non-spaces, where the tokenizer's own pattern always ends a piece.
 """
 
@@ -77,8 +79,9 @@ def _encoder(load, split):
 PIECES = re.compile(r"\s+(?!\S)| ?\S+|\s")
 #: Counted as white space here, but not by the tokenizers.
 SEPARATORS = re.compile("[\x1c-\x1f]")
-#: Known pieces and words of a worker; beyond this it starts afresh.
+#: Known pieces and words of a worker, and their longest; beyond the first number it starts afresh.
 REMEMBERED = 300_000
+REMEMBERED_LENGTH = 64
 
 
 class Remembered(dict):
@@ -88,12 +91,23 @@ class Remembered(dict):
         self.count = count
 
     def __missing__(self, key: str) -> int:
+        if len(key) > REMEMBERED_LENGTH:
+            return self.count(key)
         if len(self) >= REMEMBERED:
             self.clear()
         n = self[key] = self.count(key)
         return n
 
 
+def by_pieces(path: str) -> bool:
+    """Whether texts may be cut at the ends of PIECES: for byte-level tokenizers that change nothing before they split."""
+    with open(path, encoding="utf-8") as f:
+        config = json.load(f)
+    pre = config.get("pre_tokenizer") or {}
+    special = [t["content"] for t in config.get("added_tokens") or []]
+    return not config.get("normalizer") and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and all(s.split() == [s] for s in special)
+
+
 def json_tokenizer(path: str):
     """Counts by the ``tokenizers`` library: nothing added, special strings handled as it does by default.
 
@@ -109,12 +123,9 @@ def json_tokenizer(path: str):
         model.no_truncation()
         model.no_padding()
         whole = lambda parts: [len(x) for x in model.encode_batch_fast(parts, add_special_tokens=False)]
-        with open(path, encoding="utf-8") as f:
-            config = json.load(f)
-        pre = config.get("pre_tokenizer") or {}
-        special = [t["content"] for t in config.get("added_tokens") or []]
-        if config.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True) or any(s.split() != [s] for s in special):
+        if not by_pieces(path):
             return whole
+        special = [t.content for t in model.get_added_tokens_decoder().values()]
         cut, encode = model.pre_tokenizer.pre_tokenize_str, model.model.tokenize
         words = Remembered(lambda word: len(encode(word)))
         pieces = Remembered(lambda piece: sum(words[w] for w, _ in cut(piece)))
@@ -144,37 +155,39 @@ def token_counts(docs: DataFrame, vocabulary: str, cache: str, key: str = "doc_i
     spark = docs.sparkSession
     common.small_batches(spark)
     version = tokenizer_version(vocabulary)
-    if vocabulary.endswith(".json"):
-        load, split = json_tokenizer(vocabulary), split_long
-    else:  # cutting isn't neutral for these
-        load, split = model_tokenizer(vocabulary), lambda text: [text]
+    load = json_tokenizer(vocabulary) if vocabulary.endswith(".json") else model_tokenizer(vocabulary)
+    neutral = vocabulary.endswith(".json") and by_pieces(vocabulary)
+    split = split_long if neutral else lambda text: [text]
     content = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.select(F.col(key).alias("key"), F.xxhash64(key).alias("slot"), content.alias("content"), F.unhex(F.sha2(content, 256)).alias("digest"))
 
     first = keyed.groupBy("digest").agg(F.min("slot").alias("slot"))
-    known = stored(spark, cache, version)
-    if known is not None:
+    cached = stored(spark, cache, version)
+    known = None
+    if cached is not None:
+        # A job that was run twice may have appended twice.
+        known = common.cut(cached.join(first.select("digest"), "digest", "left_semi").groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "known")
         first = first.join(known.select("digest"), "digest", "left_anti")
     # One row of each missing digest is encoded; its slot goes into the hash table, the texts stream past.
-    # A key may come with several texts, so the digest is part of the join.
+    # A key may come with several texts, so the digest is part of the join; rows of one key may share a text, too.
     misses = keyed.select("digest", "content", "slot").join(first.hint("shuffle_hash"), ["slot", "digest"], "left_semi")
     misses = misses.select("digest", "content").mapInArrow(_encoder(load, split), "digest binary, n_tokens bigint")
-    common.write(misses.withColumn("version", F.lit(version)), cache, "append")
-
-    # Written once more, so that nothing but the join asks for its partitions: Spark can then split those of a text that
-    # very many rows share.
-    known = common.cut(stored(spark, cache, version), "counts")
+    # Written on its own, and joined from there: Spark can then split the partitions of a text that very many rows share.
+    fresh = common.cut(misses, "counts")
+    common.write(fresh.withColumn("version", F.lit(version)), cache, "append")
+    fresh = fresh.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    counts = common.cut(fresh if known is None else known.unionAll(fresh), "counts")
     rows = keyed.select("key", "digest", F.octet_length("content").cast("bigint").alias("n_bytes"))
-    return rows.join(known, "digest", "left").select(F.col("key").alias(key), "n_bytes", "n_tokens")
+    return rows.join(counts, "digest", "left").select(F.col("key").alias(key), "n_bytes", "n_tokens")
 
 
 def stored(spark: SparkSession, cache: str, version: str) -> DataFrame | None:
-    """Counts of this version; None if nothing was ever stored. A job that was run twice may have appended twice."""
+    """Counts of this version; None if nothing was ever stored."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(cache)
     if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
         return None
     rows = spark.read.schema("digest binary, n_tokens bigint, version string").parquet(cache)
-    return rows.filter(F.col("version") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    return rows.filter(F.col("version") == version)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
