@@ -122,12 +122,11 @@ def judge(docs: DataFrame, key: str = "doc_id", host: str = "source", text: str
 
 
 def keep_good(docs: DataFrame, host: str = "source", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns."""
+    """The rows of ``docs`` that are kept, with their columns. Each text is counted once, and written with its verdict."""
     carry = {f"c{i}": F.col(f"`{c}`") for i, c in enumerate(docs.columns)}
-    verdicts = host_verdicts(counted(docs, {"host": F.col(host).cast("string")}, text))
-    bad = verdicts.filter("host_rejected").select(F.col("host").alias("of"))
-    rows = counted(docs, carry | {"host": F.col(host).cast("string")}, text).filter(~F.col("base_failed"))
-    rows = rows.join(bad, F.col("host").eqNullSafe(F.col("of")), "left_anti")
+    rows = common.cut(counted(docs, carry | {"host": F.col(host).cast("string")}, text).drop(*COUNTS), "judged")
+    bad = host_verdicts(rows.select("host", "base_failed")).filter("host_rejected").select(F.col("host").alias("of"))
+    rows = rows.filter(~F.col("base_failed")).join(bad, F.col("host").eqNullSafe(F.col("of")), "left_anti")
     return rows.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)))
 
 
