@@ -8,7 +8,7 @@ than a penalty for one more language; the language of the largest proportion is
 Defined results: null texts and texts without letters get ``und`` and score 0; so does everything if there is
 nothing to learn from. Documents with a null language aren't learnt from. Repeated rows count as often as they
 occur and each keep their row. Ties go to the language first in order. Long texts are scored in pieces, and all
-of their words count. Extra columns are ignored. An empty table gives an empty result.
+of their words count. More than MAX_LANGUAGES languages to learn are an error. Extra columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from tidemark.llm import bytescan, common
 
 BUCKETS = 1 << 16
 ROUNDS = 12
+#: Languages that are learnt at most: their counts are what the driver and every worker hold, BUCKETS of them each.
+MAX_LANGUAGES = 128
 #: Log-likelihood that one more language must gain, by the logarithm of the number of words.
 PENALTY = 2.0
 #: The prior weight of the uniform distribution in a language's trigrams.
@@ -83,6 +85,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model | No
     """From all rows with a language. What comes to the driver is at most BUCKETS counts a language."""
     common.small_batches(docs.sparkSession)
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
+    if (found := rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()) > MAX_LANGUAGES:
+        raise ValueError(f"over {MAX_LANGUAGES} values of {lang!r}: {found} or more; a model of them all has no bound")
     counts = rows.mapInArrow(_count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     if not counts.num_rows:
         return None
