@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tidemark.plans import catalogue
+from tidemark.plans import catalogue, feed_catalogue  # noqa: F401
 from tests.conftest import SF
 
 

@@ -243,6 +243,45 @@ def test_snapshot_and_export(spark, store, tmp_path):
     assert export.api_health(store, NOW + timedelta(days=9))[0] == 503 and "Run" in export.summary({"run_id": "r", "status": "partial", "checks": []}) and export.exit_code("partial") == 0
 
 
+def test_a_delta_that_begins_with_the_snapshots_content_adds_only_its_changes(spark, store):
+    one_run(store, feed(spark, [job(1)]))
+    store.write_snapshot(run.jobs(store), store.commits()[-1])
+    one_run(store, feed(spark, [job(1)]), NOW + timedelta(hours=20))
+    last = one_run(store, feed(spark, [job(1, position="New")]), NOW + timedelta(hours=40))
+    row = run.jobs(store).first()
+    assert (row.revision, row.last_changed_run_id) == (2, last["run_id"])
+
+
+def test_a_commit_never_lands_inside_another(spark, store, monkeypatch):
+    events = spark.createDataFrame([], schema.LEDGER)
+    store.commit({"ledger": events})
+    monkeypatch.setattr(store, "commits", lambda: [])  # as a second writer that listed before the first was done
+    with pytest.raises(Exception, match="[Ee]xist"):
+        store.commit({"ledger": events})
+    monkeypatch.undo()
+    assert store.commits() == [1]
+
+
+def test_the_stream_keeps_other_writers_out(spark, store, tmp_path):
+    folder, mark = str(tmp_path / "landing"), str(tmp_path / "mark")
+    feed(spark, [job(1)]).write.mode("append").parquet(folder)
+    store.acquire("another")
+    with pytest.raises(LeaseHeld):
+        ingest.drain(store, folder, mark, NOW)
+    assert store.commits() == []
+    store.release("another")
+    ingest.drain(store, folder, mark, NOW)
+    store.acquire("another")
+
+
+def test_tags_in_one_string_and_times_as_numbers(spark):
+    jobs = [job(1, tags="a, ,b", date=None, epoch=86400 * 13000), job(2, date="1700000000"), job(3, date=12345), job(4, tags=7)]
+    rows = judged(spark, json_feed.parse(feed(spark, jobs)))
+    good = {r.external_id: r for r in validate.postings(rows).collect()}
+    assert good["1"].tags == ["a", "b"] and good["1"].posted_at.year == 2005 and good["4"].tags == []
+    assert {r.external_id: r.reason_code for r in validate.quarantine(rows).collect()} == {"2": "posted_at:value_error", "3": "posted_at:value_error"}
+
+
 def test_stream(spark, store, tmp_path):
     folder, mark = str(tmp_path / "landing"), str(tmp_path / "mark")
     feed(spark, [job(1), job(2)]).write.mode("append").parquet(folder)

@@ -23,6 +23,7 @@ TITLE_NOISE = (
 # Spellings of a location that mean "remote".
 REMOTE_ALIASES = ("anywhere", "anywhere in the world", "worldwide", "world wide", "global", "remote", "fully remote", "remote worldwide", "remote anywhere", "100 remote", "probably anywhere")
 
+# Fixed value: an aside in brackets.
 BRACKETED = r"[\(\[\{][^)\]\}]*[\)\]\}]"
 
 
@@ -50,7 +51,10 @@ def collapse(c: Column) -> Column:
 
 def normalize_text(c: Column) -> Column:
     """F-03: lower case, no accents, ASCII letters and digits with single spaces; null gives ''."""
-    plain = F.lower(strip_accents(F.coalesce(c.cast("string"), F.lit(""))))
+    given = F.coalesce(c.cast("string"), F.lit(""))
+    # Only values with other than ASCII characters go to Python: the others leave it at once, as nulls.
+    odd = given.rlike(r"[^\x00-\x7F]")
+    plain = F.lower(F.when(odd, strip_accents(F.when(odd, given))).otherwise(given))
     return F.trim(F.regexp_replace(plain, r"[^a-z0-9]+", " "))
 
 
@@ -154,6 +158,17 @@ def humanise_hours(hours: Column) -> Column:
     )
 
 
+def ago(seconds: Column) -> Column:
+    """F-30: an age in the largest unit that is short to read; null is never."""
+    whole = lambda n: F.floor(seconds / n).cast("string")
+    return F.when(seconds.isNull(), "never").when(seconds < 90, F.concat(whole(1), F.lit("s ago"))).when(seconds < 5400, F.concat(whole(60), F.lit("m ago"))).when(seconds < 172800, F.concat(whole(3600), F.lit("h ago"))).otherwise(F.concat(whole(86400), F.lit("d ago")))
+
+
+def thousands(n: Column) -> Column:
+    """F-30: a whole number with commas; a dash if there is none."""
+    return F.coalesce(F.format_number(n, 0), F.lit("—"))
+
+
 def like_pattern(search: str) -> str:
     """P-04: the pattern of a substring search; % and _ stay wildcards, a backslash is literal."""
     return "%" + search.lower().replace("\\", "\\\\") + "%"
@@ -161,6 +176,11 @@ def like_pattern(search: str) -> str:
 
 
 
+def tags_of_text(c: Column) -> Column:
+    """P-12 for a list in one string."""
+    return F.filter(F.transform(F.split(c, ","), strip), lambda t: t != "")
+
+
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """``df`` with a column that is computed once for each row, however often it is used later.
 

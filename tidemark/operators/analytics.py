@@ -92,15 +92,20 @@ def recent_quarantine(quarantine: DataFrame, limit: int = 20) -> DataFrame:
     return quarantine.orderBy(F.desc("created_at"), F.desc("task_key"), F.desc("pos")).limit(limit)
 
 
-def duplicate_groups(jobs: DataFrame, limit: int = 10) -> DataFrame:
-    """A-14, A-15, J-01: the groups spanning most sources, then the largest, with their rows nested."""
+def duplicate_groups(jobs: DataFrame, limit: int = 10, shown: int = 50) -> DataFrame:
+    """A-14, A-15, J-01: the groups spanning most sources, then the largest, with the number of their rows and the first ``shown`` nested.
+
+    One junk text may be repeated any number of times: ranks are limited before the shuffle, so no group is gathered whole.
+    """
     size = jobs.groupBy("content_fingerprint").agg(F.countDistinct("source").alias("sources"), F.count("*").alias("n")).filter("n > 1")
     top = size.orderBy(F.desc("sources"), F.desc("n"), "content_fingerprint").limit(limit)
     row = F.struct("source", label_of(F.col("source")).alias("label"), "company", "title", "url")
-    out = jobs.join(F.broadcast(top), "content_fingerprint").groupBy("content_fingerprint", "sources").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    members = jobs.join(F.broadcast(top), "content_fingerprint").select("content_fingerprint", "sources", "n", row.alias("row"))
+    first = members.withColumn("rank", F.row_number().over(Window.partitionBy("content_fingerprint").orderBy("row"))).filter(F.col("rank") <= shown)
+    out = first.groupBy("content_fingerprint", "sources", "n").agg(F.array_sort(F.collect_list("row")).alias("rows"))
     first, spans = F.element_at("rows", 1), F.col("sources") > 1
     return out.select(
-        F.substring("content_fingerprint", 1, 12).alias("fingerprint"), first["company"].alias("company"), first["title"].alias("title"), "rows",
+        F.substring("content_fingerprint", 1, 12).alias("fingerprint"), first["company"].alias("company"), first["title"].alias("title"), "n", "rows",
         spans.alias("spans_sources"), F.when(spans, "across sources").otherwise("same source, repeated").alias("kind"),
     ).orderBy(F.desc("spans_sources"), "fingerprint")
 
@@ -146,11 +151,11 @@ def health(runs: DataFrame, as_of: Column, stale_after_hours: int = 30) -> DataF
     stale = F.col("age") > stale_after_hours
     state = F.when(F.col("ok").isNull() | stale, "critical").when((F.col("last_status") == "failed") | (F.col("ok.status") == "partial"), "warning").otherwise("good")
     label = (
-        F.when(F.col("ok").isNull(), "Never completed a run")
-        .when(stale, F.concat(F.lit("Stale — last success "), text.humanise_hours(F.col("age")), F.lit(" ago")))
-        .when(F.col("last_status") == "failed", "Last run failed; previous data still fresh")
-        .when(F.col("ok.status") == "partial", "Last run completed with failed tasks")
-        .otherwise(F.concat(F.lit("Healthy — last success "), text.humanise_hours(F.col("age")), F.lit(" ago")))
+        F.when(F.col("ok").isNull(), "No run has ended well yet")
+        .when(stale, F.concat(F.lit("Out of date: last good run "), text.humanise_hours(F.col("age")), F.lit(" ago")))
+        .when(F.col("last_status") == "failed", "The last run failed, what is there is recent")
+        .when(F.col("ok.status") == "partial", "Some tasks of the last run failed")
+        .otherwise(F.concat(F.lit("Up to date: last good run "), text.humanise_hours(F.col("age")), F.lit(" ago")))
     )
     days = streak(runs.filter(good).select(F.to_date("finished_at").alias("day")), F.to_date(as_of))
     out = last.select(state.alias("state"), label.alias("label"), F.col("ok.finished_at").alias("last_success_at"), F.col("age").alias("last_success_age_hours"), F.lit(stale_after_hours).alias("stale_after_hours"))

@@ -17,7 +17,8 @@ def fold(observations: DataFrame, key: str = "dedup_key", commit: str = "seq", o
     """The current rows: within a commit the last one counts; then first and last time seen, last values, revision.
 
     ``fixed`` columns keep their first value. revision is 1 and one more for each change of ``content``;
-    last_changed_run is the run of the last change, or the first.
+    last_changed_run is the run of the last change, or the first. first_content tells what a fold that follows a snapshot
+    began with (see :func:`tidemark.plans.run.merge`).
     """
     rows = last_wins(observations, [key, commit], list(order))
     by = Window.partitionBy(key).orderBy(commit)
@@ -34,8 +35,9 @@ def fold(observations: DataFrame, key: str = "dedup_key", commit: str = "seq", o
         F.max_by(run, "_changed").alias("last_changed_run_id"),
         F.min_by(run, commit).alias("first_seen_run_id"),
         F.min(commit).alias("first_seq"),
+        F.min_by(content, commit).alias("first_content"),
     )
-    return out.select(key, *fixed, *(F.col(f"_last.{c}").alias(c) for c in rest), "first_seen_at", "last_seen_at", F.col(f"_last.{run}").alias("last_seen_run_id"), "first_seen_run_id", "last_changed_run_id", "revision", "first_seq")
+    return out.select(key, *fixed, *(F.col(f"_last.{c}").alias(c) for c in rest), "first_seen_at", "last_seen_at", F.col(f"_last.{run}").alias("last_seen_run_id"), "first_seen_run_id", "last_changed_run_id", "revision", "first_seq", "first_content")
 
 
 def upsert_actions(stored: DataFrame, incoming: DataFrame, key: str, content: str) -> DataFrame:

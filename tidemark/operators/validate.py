@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import identity, text
-from tidemark.schema import ALLOWED, REQUIRED, SOURCES
+from tidemark.schema import ALLOWED, EPOCH, REQUIRED, SOURCES
 
 # Names that say nothing (P-10).
 PLACEHOLDERS = ("", "-", "--", "n/a", "na", "none", "null", "unknown", "tbd", "confidential", "?")
@@ -59,41 +59,36 @@ def salary_error(c: Column, n: Column) -> Column:
     """What is wrong with the given ``c``, read as ``n``."""
     given = c.isNotNull() & ~c.isin("", "0")
     return (
-        F.when(given & n.isNull(), F.concat(F.lit("not a number: "), shown(c)))
-        .when(n < 0, F.concat(F.lit("negative salary "), n.cast("string")))
-        .when(n > MAX_SALARY, F.concat(F.lit("implausible salary "), n.cast("string"), F.lit(f" (above {MAX_SALARY})")))
+        F.when(given & n.isNull(), F.concat(F.lit("isn't numeric: "), shown(c)))
+        .when(n < 0, F.concat(F.lit("below zero: "), n.cast("string")))
+        .when(n > MAX_SALARY, F.concat(F.lit(f"over the limit of {MAX_SALARY}: "), n.cast("string")))
     )
 
 
 def timestamp(c: Column) -> Column:
-    """P-14: epoch seconds, ISO 8601, then mail dates; no zone means UTC; null if it is none of them."""
+    """P-14: epoch seconds (numbers, marked by EPOCH; digits in a string are none), ISO 8601, then mail dates; no zone means UTC; null if it is none of them."""
     s = text.strip(c)
     iso = F.when(s.rlike(_ISO), F.regexp_replace(F.regexp_replace(s, ",", "."), r" (?=Z|[+-]\d)", "").try_cast("timestamp"))
     mail = F.try_to_timestamp(F.regexp_replace(F.regexp_replace(s, r"^\w{3,9}, *", ""), r" (GMT|UTC|UT|Z)$", " +0000"), F.lit("d MMM yyyy HH:mm:ss Z"))
     compact = F.when(s.rlike(r"^\d{8}$"), F.try_to_timestamp(s, F.lit("yyyyMMdd")))
-    epoch = F.when(s.rlike(r"^-?\d{9,}(\.\d+)?$"), s.try_cast("double"))
+    epoch = F.when(s.rlike(rf"^{EPOCH}-?\d+(\.\d+)?([eE][+-]?\d+)?$"), F.substring(s, 1 + len(EPOCH), 40).try_cast("double"))
     return F.coalesce(compact, F.when(epoch.between(-6.2e10, 2.5e11), F.timestamp_seconds(epoch)), iso, mail)
 
 
 def timestamp_error(c: Column, t: Column, as_of: Column) -> Column:
     """What is wrong with the given ``c``, read as ``t``."""
     return (
-        F.when(c.isNotNull() & (c != "") & t.isNull(), F.concat(F.lit("unparseable timestamp "), shown(c)))
-        .when(t > as_of + F.expr("INTERVAL 2 DAYS"), F.concat(F.lit("posted more than 2 days in the future ("), t.cast("string"), F.lit(")")))
-        .when(t < F.lit(EARLIEST).cast("timestamp"), F.concat(F.lit("posted before 2005 ("), t.cast("string"), F.lit("), likely a bad epoch")))
+        F.when(c.isNotNull() & (c != "") & t.isNull(), F.concat(F.lit("no known form of a time: "), shown(c)))
+        .when(t > as_of + F.expr("INTERVAL 2 DAYS"), F.concat(F.lit("dated over two days ahead: "), t.cast("string")))
+        .when(t < F.lit(EARLIEST).cast("timestamp"), F.concat(F.lit("dated before any posting there is: "), t.cast("string")))
     )
 
 
 def tags(c: Column) -> Column:
-    """P-12: stripped, non-empty, the first MAX_TAGS."""
+    """P-12: stripped, non-empty, the first MAX_TAGS; a list in one string was split by its source (see :func:`tidemark.functions.text.tags_of_text`)."""
     return F.slice(F.filter(F.transform(F.coalesce(c, F.array().cast("array<string>")), text.strip), lambda t: t != ""), 1, MAX_TAGS)
 
 
-def tags_of_text(c: Column) -> Column:
-    """P-12 for a list in one string; not limited."""
-    return F.filter(F.transform(F.split(c, ","), text.strip), lambda t: t != "")
-
-
 def errors() -> Column:
     """Of rows with a payload and its values ``v``: array<struct<field, message, type, input>>: the first error of every field, then the rule across fields."""
     company, title, url = _stripped("company"), _stripped("title"), _stripped("url")
@@ -102,13 +97,13 @@ def errors() -> Column:
         F.when(F.array_contains("missing_keys", "source"), _error("source", "Field required", "missing", F.to_json("payload")))
         .when(~F.coalesce(_stripped("source").isin(*SOURCES), F.lit(False)), _error("source", f"Input should be {allowed}", "literal_error", _value("source")))
     )
-    placeholder = lambda v, what: F.when(F.lower(v).isin(*PLACEHOLDERS), F.concat(F.lit(f"placeholder {what} "), shown(v), F.lit(" carries no identity")))
+    placeholder = lambda v, what: F.when(F.lower(v).isin(*PLACEHOLDERS), F.concat(F.lit(f"the {what} "), shown(v), F.lit(" names nothing")))
     found = [
         source,
         _text_error("external_id"),
-        _text_error("url", F.when(~F.lower(url).rlike("^https?://"), F.lit("must be an http(s) URL"))),
+        _text_error("url", F.when(~F.lower(url).rlike("^https?://"), F.lit("isn't the address of a web page"))),
         _text_error("company", placeholder(company, "company name")),
-        _text_error("title", F.coalesce(F.when(F.contains(title, F.lit("\n")), F.lit("contains a newline, which means the field was not split correctly")), placeholder(title, "title"))),
+        _text_error("title", F.coalesce(F.when(F.contains(title, F.lit("\n")), F.lit("holds a line break: more than a title was taken")), placeholder(title, "title"))),
         _text_error("location"),
         _text_error("employment_type"),
         *(F.when(F.col(f"v.{f}_error").isNotNull(), _error(f, F.col(f"v.{f}_error"), "value_error", _value(f))) for f in ("salary_min", "salary_max")),
@@ -118,7 +113,7 @@ def errors() -> Column:
     extra = F.transform("extra_keys", lambda k: F.struct(k.alias("field"), F.lit("Extra inputs are not permitted").alias("message"), F.lit("extra_forbidden").alias("type"), F.lit("None").alias("input")))
     alone = F.concat(F.array_compact(F.array(*found)), extra)
     low, high = F.col("v.salary_min"), F.col("v.salary_max")
-    order = F.when(low > high, F.array(_error("<root>", F.concat(F.lit("salary_min ("), low.cast("string"), F.lit(") is greater than salary_max ("), high.cast("string"), F.lit(")")), "value_error", F.to_json("payload"))))
+    order = F.when(low > high, F.array(_error("<root>", F.concat(F.lit("the range runs backwards, from "), low.cast("string"), F.lit(" to "), high.cast("string")), "value_error", F.to_json("payload"))))
     return F.when(F.col("payload").isNull(), F.array().cast(alone_type())).when(F.size(alone) > 0, alone).otherwise(F.coalesce(order, F.array().cast(alone_type())))
 
 

@@ -43,9 +43,9 @@ def checks(outcomes: DataFrame, base: DataFrame, planned: DataFrame | None = Non
     first = whole.select(
         F.inline(
             F.array(
-                line(F.lit("quarantine_rate"), rate <= max_rate, F.round(rate, 4), F.lit(max_rate), F.format_string("%d of %d records failed validation", "items_quarantined", "items_seen")),
+                line(F.lit("quarantine_rate"), rate <= max_rate, F.round(rate, 4), F.lit(max_rate), F.format_string("%d out of %d records were set aside", "items_quarantined", "items_seen")),
                 line(F.lit("non_empty"), (F.col("items_valid") > 0) | F.col("unchanged"), F.col("items_valid"), none,
-                     F.when(F.col("unchanged"), "every task returned 304 Not Modified").otherwise(F.format_string("%d valid records stored", "items_valid"))),
+                     F.when(F.col("unchanged"), "nothing has changed at any source").otherwise(F.format_string("%d records are good", "items_valid"))),
             )
         )
     )
@@ -55,7 +55,7 @@ def checks(outcomes: DataFrame, base: DataFrame, planned: DataFrame | None = Non
     )
     down = sources.filter("down").select(
         F.concat(F.lit("source_reachable:"), "source").alias("name"), F.lit(False).alias("ok"), F.lit(0.0).alias("value"), F.lit(None).cast("double").alias("threshold"),
-        F.format_string("every one of %s's %d task(s) failed: %s", "source", "n", "errors").alias("detail"),
+        F.format_string("%s: all tasks failed (%d): %s", "source", "n", "errors").alias("detail"),
     )
     if planned is not None:
         base = base.join(planned.select("source").distinct(), "source", "left_semi")
@@ -64,7 +64,7 @@ def checks(outcomes: DataFrame, base: DataFrame, planned: DataFrame | None = Non
     parser = base.filter(F.col("baseline") >= LEAST_BASELINE).join(sources, "source", "left").select(
         F.concat(F.lit("parser_health:"), "source").alias("name"), ((current >= floor) | F.coalesce("unchanged", F.lit(False))).alias("ok"),
         current.cast("double").alias("value"), F.round(floor, 1).alias("threshold"),
-        F.format_string("%s produced %d valid records; median of recent runs is %.0f", F.col("source"), current, F.col("baseline")).alias("detail"),
+        F.format_string("%s: %d good records against a median of %.0f", F.col("source"), current, F.col("baseline")).alias("detail"),
     )
     return first.unionByName(down).unionByName(parser)
 

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import schema
 from tidemark.functions import headers, identity, text
 from tidemark.operators import analytics, fold, validate, verdict
 
@@ -99,13 +100,13 @@ def fingerprint_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {JOBS_SQL}, top AS (SELECT content_fingerprint AS f, count(DISTINCT source) AS s FROM jobs GROUP BY 1 HAVING count(*) > 1 ORDER BY s DESC, count(*) DESC, f LIMIT 10)
-SELECT substr(f, 1, 12) AS fingerprint, min(company) AS company, min(title) AS title, count(*) AS n, s > 1 AS spans_sources,
+SELECT substr(f, 1, 12) AS fingerprint, min(company) AS company, min(title) AS title, max(n) AS n, s > 1 AS spans_sources,
     CASE WHEN s > 1 THEN 'across sources' ELSE 'same source, repeated' END AS kind, string_agg(source, ',' ORDER BY source, url) AS sources
-FROM jobs JOIN top ON content_fingerprint = f GROUP BY f, s""")
+FROM (SELECT *, row_number() OVER (PARTITION BY f ORDER BY source, url) AS r, count(*) OVER (PARTITION BY f) AS n FROM jobs JOIN top ON content_fingerprint = f) WHERE r <= 50 GROUP BY f, s""")
 def duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A-14, A-15, J-01, T-05, T-06: the ten groups are the feature."""
+    """A-14, A-15, J-01, T-05, T-06: the ten groups, and the rows shown of each, are the feature."""
     out = analytics.duplicate_groups(jobs(spark, sf_dir))
-    return out.select("fingerprint", "company", "title", F.size("rows").cast("bigint").alias("n"), "spans_sources", "kind", F.array_join(F.transform("rows", lambda r: r["source"]), ",").alias("sources"))
+    return out.select("fingerprint", "company", "title", "n", "spans_sources", "kind", F.array_join(F.transform("rows", lambda r: r["source"]), ",").alias("sources"))
 
 
 @query("SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")
@@ -114,20 +115,21 @@ def last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold.last_wins(table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value"), ["user_id"], ["ts", "event_id"]).drop("ts")
 
 
-_HALVES = "SELECT user_id, {f}(event_type, struct_pack(ts := ts, event_id := event_id)) AS event_type FROM events WHERE event_id {op} (SELECT max(event_id) / 2 FROM events) {more} GROUP BY 1"
+_HALVES = "SELECT user_id || ' ' || CAST(ts AS DATE) AS key, max_by(event_type, struct_pack(ts := ts, event_id := event_id)) AS event_type FROM events WHERE event_id {op} (SELECT max(event_id) / 2 FROM events) GROUP BY 1"
 
 
-@query(f"""WITH old AS ({_HALVES.format(f="max_by", op="<", more="AND value >= 150")}), new AS ({_HALVES.format(f="max_by", op=">=", more="AND value >= 150")})
-SELECT user_id, CASE WHEN old.event_type IS NULL THEN 'inserted' WHEN new.event_type IS NULL THEN 'untouched' WHEN old.event_type = new.event_type THEN 'unchanged' ELSE 'updated' END AS action
-FROM old FULL JOIN new USING (user_id)""")
+@query(f"""WITH old AS ({_HALVES.format(op="<")}), new AS ({_HALVES.format(op=">=")})
+SELECT key, CASE WHEN old.event_type IS NULL THEN 'inserted' WHEN new.event_type IS NULL THEN 'untouched' WHEN old.event_type = new.event_type THEN 'unchanged' ELSE 'updated' END AS action
+FROM old FULL JOIN new USING (key)""")
 def upsert_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J-02, J-03, M-01: what a batch does to what is stored; both sides are the last row of each key."""
-    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    """J-02, J-03, M-01: what a batch does to what is stored; both sides are the last row of each key, a user's day."""
+    key = F.concat_ws(" ", F.col("user_id").cast("string"), F.to_date("ts").cast("string"))
+    events = table(spark, sf_dir, "events").select(key.alias("key"), "ts", "event_id", "event_type")
     half = events.agg((F.max("event_id") / 2).alias("half"))
     cut = events.join(F.broadcast(half), F.lit(True))
-    old = fold.last_wins(cut.filter("event_id < half AND value >= 150").drop("half", "value"), ["user_id"], ["ts", "event_id"])
-    new = fold.last_wins(cut.filter("event_id >= half AND value >= 150").drop("half", "value"), ["user_id"], ["ts", "event_id"])
-    return fold.upsert_actions(old, new, "user_id", "event_type")
+    old = fold.last_wins(cut.filter("event_id < half").drop("half"), ["key"], ["ts", "event_id"])
+    new = fold.last_wins(cut.filter("event_id >= half").drop("half"), ["key"], ["ts", "event_id"])
+    return fold.upsert_actions(old, new, "key", "event_type")
 
 
 @query("""WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, max_by(event_type, struct_pack(ts := ts, event_id := event_id)) AS h FROM events GROUP BY ALL),
@@ -261,30 +263,12 @@ def recent_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, json_extract_string(props, '$.missing') IS NULL AS absent FROM events")
 def json_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S-05: fields of a VARIANT, and whether a key is there."""
+    """Fields of a VARIANT, and whether a key is there, as the JSON source reads them."""
     v = F.try_parse_json("props")
     rows = table(spark, sf_dir, "events").withColumn("v", v)
     return rows.select("event_id", F.try_variant_get("v", "$.k", "bigint").alias("k"), F.try_variant_get("v", "$.missing", "variant").isNull().alias("absent"))
 
 
-@query(r"SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, lower(regexp_extract(url, '://([^/?#]*)', 1)) AS host FROM pages")
-def html_title_host(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S-03."""
-    return table(spark, sf_dir, "pages").select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.lower(F.regexp_extract("url", "://([^/?#]*)", 1)).alias("host"))
-
-
-_TAGS = [r"(?is)<(script|style)[^>]*>.*?</(script|style)>", r"(?s)<[^>]*>", r"[ \t\r\n\f]+"]
-
-
-@query(f"SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '{_TAGS[0]}', ' ', 'g'), '{_TAGS[1]}', ' ', 'g'), '{_TAGS[2]}', ' ', 'g')) AS plain FROM pages")
-def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F-11 in its SQL form: no entities decoded."""
-    c = F.col("html")
-    for pattern in _TAGS:
-        c = F.regexp_replace(c, pattern, " ")
-    return table(spark, sf_dir, "pages").select("page_id", F.trim(c).alias("plain"))
-
-
 @query("SELECT doc_id, source FROM documents ANTI JOIN labels USING (doc_id)")
 def unlabeled_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J-08."""
@@ -298,7 +282,7 @@ def split_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.size("p").cast("bigint").alias("n_parts"), F.element_at("p", 1).alias("company"))
 
 
-_NOISE = r"(remote|fully[\s-]?remote|hybrid|onsite|on[\s-]?site|full[\s-]?time|part[\s-]?time|contract|permanent|freelance|w2|c2c|visa|relocation|urgent|hiring|new|us|usa|uk|emea|anywhere|worldwide|m/f/d|m/w/d|h/f|f/m/d|all genders)"
+_NOISE = f"({text.TITLE_NOISE})"
 
 
 @query(rf"""SELECT p_partkey, trim(regexp_replace(lower(strip_accents(regexp_replace('New ' || p_name || ' (Remote)', '[\(\[\{{][^)\]\}}]*[\)\]\}}]', ' ', 'g').regexp_replace('(?i)\b{_NOISE}\b', ' ', 'g'))), '[^a-z0-9]+', ' ', 'g')) AS title FROM part""")
@@ -419,7 +403,7 @@ def timestamp_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P-14: order dates written in each of the forms that feeds use, read back."""
     k, d = F.col("o_orderkey") % 4, F.col("o_orderdate").cast("timestamp")
     mail = F.concat(F.date_format(d, "EEE"), F.lit(", "), F.date_format(d, "dd MMM yyyy HH:mm:ss"), F.lit(" +0000"))
-    written = F.when(k == 0, F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss'Z'")).when(k == 1, F.unix_timestamp(d).cast("string")).when(k == 2, mail).otherwise("soon")
+    written = F.when(k == 0, F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss'Z'")).when(k == 1, F.concat(F.lit(schema.EPOCH), F.unix_timestamp(d).cast("string"))).when(k == 2, mail).otherwise("soon")
     return table(spark, sf_dir, "orders").select("o_orderkey", F.date_format(validate.timestamp(written), "yyyy-MM-dd HH:mm:ss").alias("posted_at"))
 
 
@@ -446,7 +430,7 @@ def validation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def day_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F-25, F-26."""
     rows = jobs(spark, sf_dir).select("doc_id", F.date_format(F.to_date("first_seen_at"), "yyyy-MM-dd").alias("day"))
-    return rows.withColumn("that_day", F.count("*").over(Window.partitionBy("day")))
+    return rows.join(rows.groupBy("day").agg(F.count("*").alias("that_day")), "day")
 
 
 @query("SELECT p_partkey, '$' || CAST((100000 + p_size * 1000) // 1000 AS VARCHAR) || CASE WHEN p_partkey % 2 = 0 THEN 'k–$' || CAST((150000 + p_size * 1000) // 1000 AS VARCHAR) || 'k' ELSE 'k+' END AS label FROM part")
@@ -456,21 +440,6 @@ def salary_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", text.salary_label(low, high, F.lit("USD")).alias("label"))
 
 
-@query("SELECT DISTINCT 'region/' || r_name || ', ' || n_name AS location, n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey")
-def location_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F-23, U-02, U-03: distinct parts in order, empty ones left out."""
-    rows = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    parts = F.array_distinct(F.array_compact(F.array(F.concat(F.lit("region/"), "r_name"), F.lit(None), F.col("n_name"), F.col("n_name"))))
-    return rows.select(F.substring(F.array_join(parts, ", "), 1, 300).alias("location"), "n_nationkey")
-
-
-@query("SELECT source, count(*) AS n FROM (SELECT source FROM documents UNION ALL SELECT 'page' AS source FROM pages UNION ALL SELECT event_type FROM events) GROUP BY 1")
-def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """U-01, U-04: records of all sources in one relation."""
-    parts = [table(spark, sf_dir, "documents").select("source"), table(spark, sf_dir, "pages").select(F.lit("page").alias("source")), table(spark, sf_dir, "events").select(F.col("event_type").alias("source"))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("source").agg(F.count("*").alias("n"))
-
-
 @query("SELECT n_nationkey, 'https://example.com/feed?a=' || n_nationkey || '&b=x%26y' AS url FROM nation")
 def canonical_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F-27: parameters in order, encoded."""

@@ -63,9 +63,8 @@ def merge(snapshot: DataFrame, new: DataFrame) -> DataFrame:
     now = new.select("dedup_key", F.struct(*new.columns).alias("n"))
     o, n = lambda c: F.col(f"o.{c}"), lambda c: F.col(f"n.{c}")
     both = old.join(now, "dedup_key", "full_outer")
-    # The first new revision isn't one if its content is the snapshot's; which of the new ones it was, the fold doesn't
-    # say, so revisions add up to at most one too many only if the content changed back within one delta.
-    same = F.when(o("content_hash").isNull(), 0).when((n("revision") == 1) & (o("content_hash") == n("content_hash")), -1).otherwise(0)
+    # The first of the new revisions isn't one if it began with the snapshot's content.
+    same = F.when(o("content_hash") == n("first_content"), -1).otherwise(0)
     special = {
         "first_seen_at": F.least(o("first_seen_at"), n("first_seen_at")),
         "last_seen_at": F.greatest(o("last_seen_at"), n("last_seen_at")),
@@ -74,7 +73,8 @@ def merge(snapshot: DataFrame, new: DataFrame) -> DataFrame:
         "source": F.coalesce(o("source"), n("source")),
         "external_id": F.coalesce(o("external_id"), n("external_id")),
         "first_seen_run_id": F.coalesce(o("first_seen_run_id"), n("first_seen_run_id")),
-        "last_changed_run_id": F.when(same == -1, o("last_changed_run_id")).otherwise(F.coalesce(n("last_changed_run_id"), o("last_changed_run_id"))),
+        "first_content": F.coalesce(o("first_content"), n("first_content")),
+        "last_changed_run_id": F.when(n("revision") + same == 0, o("last_changed_run_id")).otherwise(F.coalesce(n("last_changed_run_id"), o("last_changed_run_id"))),
     }
     present = F.col("n").isNotNull()
     return both.select("dedup_key", *(special.get(c, F.when(present, n(c)).otherwise(o(c))).alias(c) for c in snapshot.columns if c != "dedup_key"))

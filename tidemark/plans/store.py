@@ -48,13 +48,17 @@ class Store:
                 rows.select(PARTS[name].names).write.parquet(f"{self.root}/log/{staged}/{name}")
             done = self.commits()
             seq = done[-1] + 1 if done else 1
-            if not self.fs.rename(self.path("log", staged), self.path("log", f"{seq:012d}")):
-                raise RuntimeError(f"commit {seq} could not be made visible")
+            self.publish(self.path("log", staged), self.path("log", f"{seq:012d}"))
             return seq
         except BaseException:
             self.fs.delete(self.path("log", staged), True)
             raise
 
+    def publish(self, staged, target) -> None:
+        """Rename, and fail if the target exists: a plain rename would move the folder into it."""
+        context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.path().toUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        context.rename(staged, target, self.spark.sparkContext._gateway.new_array(self.jvm.org.apache.hadoop.fs.Options.Rename, 0))
+
     def read(self, part: str, since: int = 0) -> DataFrame:
         """Rows of one part over all commits after ``since``, with the commit's number as ``seq``."""
         wide = StructType([*PARTS[part].fields, StructField("seq", LongType())])
@@ -72,7 +76,7 @@ class Store:
         staged = f".staging-{uuid.uuid4().hex}"
         jobs.repartition("dedup_key").sortWithinPartitions("dedup_key").write.parquet(f"{self.root}/{staged}")
         self.fs.mkdirs(self.path("snapshots"))
-        self.fs.rename(self.path(staged), self.path("snapshots", f"{upto:012d}"))
+        self.publish(self.path(staged), self.path("snapshots", f"{upto:012d}"))
 
     def last_snapshot(self) -> tuple[int, DataFrame | None]:
         if not self.fs.exists(self.path("snapshots")):

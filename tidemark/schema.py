@@ -17,6 +17,9 @@ def _struct(**fields) -> StructType:
 #: One fetched body: what a task got, or why it got nothing.
 LANDING = _struct(task_key=_s, source=_s, url=_s, status=_i, body=_s, headers=MapType(_s, _s), meta=MapType(_s, _s), error=_s)
 
+#: Marks a time that came as a number, seconds since 1970.
+EPOCH = "@"
+
 #: A posting as a parser proposes it; every value still as it came.
 PAYLOAD = _struct(
     source=_s, external_id=_s, url=_s, company=_s, title=_s, location=_s, employment_type=_s, salary_min=_s, salary_max=_s,

@@ -76,7 +76,7 @@ def comments(pages: pd.Series) -> pd.Series:
 def problems(landing: DataFrame) -> DataFrame:
     """Pages without comment rows: the markup has changed, which is worse than a few bad postings."""
     own = landing.filter((F.col("source") == SOURCE) & F.col("body").isNotNull())
-    return own.filter(~F.col("body").rlike(r"(?s)<tr[^>]*class\s*=\s*['\"][^'\"]*\bcomtr\b")).select("task_key", F.lit("no comment rows found on the thread page; its markup has changed").alias("error"))
+    return own.filter(~F.col("body").rlike(r"(?s)<tr[^>]*class\s*=\s*['\"][^'\"]*\bcomtr\b")).select("task_key", F.lit("a thread without a row of comments: the page is built in another way now").alias("error"))
 
 
 def parse(landing: DataFrame) -> DataFrame:
@@ -88,9 +88,9 @@ def parse(landing: DataFrame) -> DataFrame:
     rows = text.once(rows.withColumn("header", header), "role", headers.role_from_body(F.col("lines")))
     rows = headers.parsed(rows, "h", F.col("header"), F.col("role"))
     code = F.col("h.error_code")
-    shown = F.concat(F.lit(" (got '"), F.substring("header", 1, 120), F.lit("')"))
-    error = F.when(code == "header_not_pipe_delimited", F.concat(F.lit("header line does not use the 'Company | Role | ...' pipe convention"), shown)).when(
-        code == "no_role_identified", F.concat(F.lit("no role could be identified in the header or the first lines of the post"), shown)
+    shown = F.concat(F.lit(" in '"), F.substring("header", 1, 120), F.lit("'"))
+    error = F.when(code == "header_not_pipe_delimited", F.concat(F.lit("no bars part the first line"), shown)).when(
+        code == "no_role_identified", F.concat(F.lit("neither the first line nor those behind it name a role"), shown)
     )
     tags = F.when(F.col("h.from_body"), F.array(F.lit("hn-who-is-hiring"), F.lit("title-from-body"))).otherwise(F.array(F.lit("hn-who-is-hiring")))
     payload = {

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.schema import ALLOWED, PAYLOAD
+from tidemark.schema import ALLOWED, EPOCH, PAYLOAD
 from tidemark.sources.landing import records
 
 SOURCE = "remoteok"
@@ -20,15 +20,23 @@ def _get(path: str) -> Column:
 def _filled(path: str) -> Column:
     """The value as text unless it is null, an empty string, the number 0 or false."""
     v = _get(path)
-    is_text = F.schema_of_variant(F.try_variant_get("value", f"$.{path}", "variant")) == "STRING"
-    return F.when((v != "") & (is_text | ~v.isin("0", "0.0", "false")), v)
+    return F.when((v != "") & (_is(path, "STRING") | ~v.isin("0", "0.0", "false")), v)
+
+
+def _is(path: str, kind: str) -> Column:
+    return F.schema_of_variant(F.try_variant_get("value", f"$.{path}", "variant")) == kind
+
+
+def _time(path: str) -> Column:
+    """A filled value, marked if it is a number."""
+    return F.when(_is(path, "STRING"), _filled(path)).otherwise(F.concat(F.lit(EPOCH), _filled(path)))
 
 
 def problems(landing: DataFrame) -> DataFrame:
     """task_key, error of the bodies whose shape isn't an array: the task fails as a whole."""
     v = F.try_parse_json("body")
     kind = F.schema_of_variant(v)
-    error = F.when(v.isNull(), "response was not valid JSON").when(~F.startswith(kind, F.lit("ARRAY")), F.concat(F.lit("expected a JSON array, got "), kind))
+    error = F.when(v.isNull(), "the body isn't JSON").when(~F.startswith(kind, F.lit("ARRAY")), F.concat(F.lit("an array was expected, this is "), kind))
     return landing.filter(F.col("source") == SOURCE).select("task_key", error.alias("error")).filter("error IS NOT NULL")
 
 
@@ -43,7 +51,7 @@ def parse(landing: DataFrame) -> DataFrame:
     rows = rows.filter(~F.coalesce(is_object & absent("id") & ~absent("legal"), F.lit(False)))
     external = text.strip(F.coalesce(_filled("id"), F.lit("")))
     code = F.when(~is_object, "element_not_an_object").when(external == "", "no_stable_identity")
-    error = F.when(~is_object, F.concat(F.lit("array element is "), kind, F.lit(", not an object"))).when(external == "", "object has no 'id' field, so it has no stable identity")
+    error = F.when(~is_object, F.concat(F.lit("element is "), kind, F.lit(" where an object belongs"))).when(external == "", "nothing to tell it by: 'id' is missing")
     low, high = _get("salary_min"), _get("salary_max")
     slug = _filled("slug")
     payload = {
@@ -57,9 +65,9 @@ def parse(landing: DataFrame) -> DataFrame:
         "salary_min": low,
         "salary_max": high,
         "salary_currency": F.when(_filled("salary_min").isNotNull() | _filled("salary_max").isNotNull(), "USD"),
-        "tags": F.coalesce(F.try_variant_get("value", "$.tags", "array<string>"), F.array().cast("array<string>")),
+        "tags": F.coalesce(F.try_variant_get("value", "$.tags", "array<string>"), F.when(_is("tags", "STRING"), text.tags_of_text(_get("tags"))), F.array().cast("array<string>")),
         "description_text": text.html_to_text(_get("description")),
-        "posted_at": F.coalesce(_filled("date"), _filled("epoch")),
+        "posted_at": F.coalesce(_time("date"), _time("epoch")),
     }
     raw = F.when(is_object, raw_without_description(F.col("value"))).otherwise(F.substring(F.to_json("value"), 1, 300))
     struct = F.struct(*(payload[k].alias(k) for k in ALLOWED)).cast(PAYLOAD)

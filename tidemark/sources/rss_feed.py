@@ -36,9 +36,9 @@ def parse(landing: DataFrame) -> DataFrame:
     title = _field("title")
     code = F.when(identity.isNull(), "no_stable_identity").when(title.isNull(), "missing_title").when(~F.contains(title, F.lit(":")), "title_not_company_colon_role")
     error = (
-        F.when(identity.isNull(), "item has neither <guid> nor <link>, so it has no stable identity")
-        .when(title.isNull(), "item has no <title>")
-        .when(~F.contains(title, F.lit(":")), F.concat(F.lit("title does not use the 'Company: Role' convention (got '"), F.substring(title, 1, 120), F.lit("')")))
+        F.when(identity.isNull(), "nothing to tell it by: guid and link are missing")
+        .when(title.isNull(), "the title is missing")
+        .when(~F.contains(title, F.lit(":")), F.concat(F.lit("no colon parts a company from a role in '"), F.substring(title, 1, 120), F.lit("'")))
     )
     place = F.array_join(F.array_distinct(F.array_compact(F.array(_field("region"), _field("state"), _field("country")))), ", ")
     payload = {

@@ -21,11 +21,12 @@ def landing_stream(spark: SparkSession, folder: str, max_files: int = 1000) -> D
     return spark.readStream.schema(schema.LANDING).option("maxFilesPerTrigger", max_files).parquet(folder)
 
 
-def drain(store: Store, folder: str, checkpoint: str, now: datetime) -> StreamingQuery:
-    """Absorb all files that weren't absorbed before, then stop."""
+def drain(store: Store, folder: str, checkpoint: str, now: datetime, holder: str = "stream", seconds: float = 300) -> StreamingQuery:
+    """Absorb all files that weren't absorbed before, then stop. The lease keeps other writers out, and is renewed with each batch."""
 
     def absorb(batch: DataFrame, batch_id: int) -> None:
         run_id = f"stream-{batch_id:012d}"
+        store.renew(holder, seconds)
         ended = run.runs(store).filter((F.col("id") == run_id) & (F.col("status") != "running"))
         if not ended.isEmpty():
             return  # committed by an earlier attempt at this batch
@@ -36,8 +37,9 @@ def drain(store: Store, folder: str, checkpoint: str, now: datetime) -> Streamin
         run.absorb(store, run_id, batch, now)
         run.finish(store, run_id, now)
 
-    query = landing_stream(store.spark, folder).writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(absorb).start()
-    query.awaitTermination()
+    with store.lease(holder, seconds):
+        query = landing_stream(store.spark, folder).writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(absorb).start()
+        query.awaitTermination()
     return query
 
 
