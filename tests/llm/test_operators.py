@@ -477,6 +477,82 @@ def test_languages(spark):
     assert {r.lang_pred for r in language_mixture.predict(df, None).collect()} == {"und"}
 
 
+def plain_language(text, words_of):
+    """The mixture of one text by plain loops over log-likelihoods of its words: language -> proportion, best first."""
+    import math
+
+    like = [words_of(w) for w in text]
+    k = len(like[0])
+
+    def fit(langs, rounds):
+        share = {j: 1 / len(langs) for j in langs}
+        for _ in range(rounds if len(langs) > 1 else 0):
+            total = dict.fromkeys(langs, 0.0)
+            for row in like:
+                top = max(row[j] for j in langs)
+                p = {j: share[j] * math.exp(row[j] - top) for j in langs}
+                for j in langs:
+                    total[j] += p[j] / sum(p.values())
+            share = {j: total[j] / len(like) for j in langs}
+        value = sum(max(row[j] for j in langs) + math.log(sum(share[j] * math.exp(row[j] - max(row[i] for i in langs)) for j in langs)) for row in like)
+        return share, value
+
+    first = max(range(k), key=lambda j: (sum(row[j] for row in like), -j))
+    rough, _ = fit(list(range(k)), 4)
+    order = [first, *sorted((j for j in range(k) if j != first), key=lambda j: (-rough[j], j))]
+    share, value = fit(order[:1], 0)
+    for size in range(2, k + 1):
+        more, reached = fit(order[:size], language_mixture.ROUNDS)
+        if reached - value <= language_mixture.PENALTY * math.log(len(like) + 1):
+            break
+        share, value = more, reached
+    return max(share, key=lambda j: (share[j], -j)), max(share.values())
+
+
+def test_mixtures_equal_plain_loops(spark):
+    """Counting, smoothing, likelihoods and the choice of languages, against loops over a dictionary of trigrams."""
+    import math
+    from collections import Counter
+
+    draw = random.Random(23)
+    vocabulary = {lang: ["".join(draw.choice(letters) for _ in range(draw.randint(2, 7))) for _ in range(60)] for lang, letters in (("a", "aeioust"), ("b", "aeiklmn"), ("c", "uorkstn"))}
+    rows = [(i, " ".join(draw.choice(vocabulary["abc"[i % 3]]) for _ in range(draw.randint(1, 40))), "abc"[i % 3]) for i in range(90)]
+    mixed = [(100 + i, " ".join(draw.choice(vocabulary[draw.choice("ab" if i % 2 else "abc")]) for _ in range(50)), None) for i in range(20)]
+    model = language_mixture.train(spark.createDataFrame([*rows, *rows[:9]], "doc_id long, text string, lang string"))
+
+    def grams(word):
+        b = b" " + word.encode().lower() + b" "
+        return [((b[i] | b[i + 1] << 8 | b[i + 2] << 16) * 0x9E3779B1 & 0xFFFFFFFF) >> 16 for i in range(len(b) - 2)]
+
+    counts = {lang: Counter() for lang in "abc"}
+    for _, text, lang in [*rows, *rows[:9]]:
+        for w in text.split():
+            counts[lang].update(grams(w))
+    every = sum(counts.values(), Counter())
+    n, size, a = sum(every.values()), language_mixture.BUCKETS, language_mixture.SMOOTHING
+    log = lambda lang, g: math.log((1 - a) * counts[lang][g] / sum(counts[lang].values()) + a * ((1 - a) * every[g] / n + a / size))
+    got = by_id(language_mixture.predict(spark.createDataFrame([*rows, *mixed, *[(200 + i, *r[1:]) for i, r in enumerate(mixed[:2])]], "doc_id long, text string, lang string"), model))
+    for i, text, _ in [*rows, *mixed]:
+        at, share = plain_language(text.split(), lambda w: [sum(log(lang, g) for g in grams(w)) for lang in "abc"])
+        assert got[i].lang_pred == "abc"[at] and abs(got[i].score - share) < 2e-3, i
+    assert got[200].lang_pred == got[100].lang_pred and got[200].score == got[100].score
+
+
+def test_languages_at_the_edges(spark, monkeypatch):
+    model = language_mixture.train(spark.createDataFrame([(1, "der die das und", "de"), (2, "the and of it", "en")], "doc_id long, text string, lang string"))
+    rows = [(None, "der und", "x"), (3, "der und", None), (3, "der und", None), (4, "the and " * 40_000, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("key", F.lit(1)).withColumn("lang_pred", F.lit(1))
+    whole = language_mixture.predict(frame, model).collect()
+    assert [(r.doc_id, r.lang_pred) for r in sorted(whole, key=lambda r: (r.doc_id or 0))] == [(None, "de"), (3, "de"), (3, "de"), (4, "en")]
+    monkeypatch.setattr(language_mixture, "PIECE_WORDS", 77)
+    pieces = language_mixture.predict(frame, model).collect()
+    assert sorted(map(repr, whole)) == sorted(map(repr, pieces))
+    assert language_mixture.predict(frame.limit(0), model).count() == 0
+    monkeypatch.setattr(language_mixture, "MAX_LANGUAGES", 1)
+    with pytest.raises(ValueError, match="no bound"):
+        language_mixture.train(frame.withColumn("lang", F.col("text")))
+
+
 def test_mixtures():
     draw = np.random.default_rng(1)
     like = np.log(np.where(draw.random((400, 1)) < 0.7, [[0.9, 0.05, 0.05]], [[0.05, 0.9, 0.05]]))
@@ -550,6 +626,56 @@ def test_rules_are_mined_at_any_depth(spark, bad, good):
     assert all((r.verdict == "block") == (i % 4 == 0) for i, r in got.items())
 
 
+def plain_tokens(url):
+    """The tokens of a URL, by plain string work."""
+    scheme, _, rest = (url or "").partition("://")
+    if "://" not in (url or ""):
+        return set()
+    authority = rest.split("#")[0].split("?")[0].split("/")[0]
+    host, tail = authority.lower(), rest[len(authority) :].split("#")[0]
+    path, _, query = tail.partition("?")
+    if not host:
+        return set()
+    out = {"scheme=" + scheme.lower()} | {"host=" + ".".join(host.split(".")[i:]) for i in range(len(host.split(".")))}
+    digits = lambda s: "".join("0" if c.isdigit() and (not i or not s[i - 1].isdigit()) else c for i, c in enumerate(s) if not (c.isdigit() and i and s[i - 1].isdigit()))
+    for i, part in enumerate(x for x in path.split("/") if x):
+        out |= {f"path{i}={digits(part)}", f"path={digits(part)}"}
+    for part in query.split("&"):
+        out |= {"query=" + part, "query=" + part.split("=")[0]} if part else set()
+    return out
+
+
+def test_mined_rules_equal_all_combinations(spark):
+    """Support and confidence counted over every combination of tokens: the pages that a rule of enough of both matches are blocked."""
+    from itertools import combinations
+
+    draw, rows, labels = random.Random(12), [], []
+    for i in range(500):
+        a, b, c = draw.choice("pqr"), draw.choice("xyz"), draw.choice(["k=1", "k=2", "m=1"])
+        rows.append((i, f"http://{draw.choice('st')}.org/{a}/{b}?{c}"))
+        if i < 350:
+            chance = 0.95 if (a, c) == ("p", "k=1") else 0.85 if b == "z" and c == "m=1" else 0.3
+            labels.append((i, 1, int(draw.random() < chance)))
+    rows += [(900, None), (None, "http://s.org/p/x?k=1"), (901, "http://s.org/p/x?k=1"), (901, "http://s.org/p/x?k=1")]
+    support, confidence, pages = 0.02, 0.8, 10
+    bags = {i: plain_tokens(u) for i, u in rows if i is not None}
+    seen = [(bags[i], bool(bad)) for i, _, bad in labels]
+    every = sorted(set().union(*(b for b, _ in seen)))
+    least = max(support * len(seen), pages)
+    rules = []
+    for size in (1, 2, 3, 4):
+        for some in combinations(every, size):
+            own = [bad for bag, bad in seen if bag.issuperset(some)]
+            if sum(own) >= least and sum(own) >= confidence * len(own):
+                rules.append(set(some))
+    assert rules
+    want = {i: "block" if any(bag >= r for r in rules) else "allow" for i, bag in bags.items()}
+    frame = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("clash")).withColumn("tokens", F.lit("clash"))
+    got = url_filters.judge(frame, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), rules=(), min_support=support, min_pages=pages, min_confidence=confidence).collect()
+    assert len(got) == len(rows) and {"block", "allow"} <= set(want.values())
+    assert all(r.verdict == want[r.page_id] for r in got if r.page_id is not None) and [r.verdict for r in got if r.page_id is None] == [want[901]]
+
+
 # -- 10 -----------------------------------------------------------------------------
 
 
