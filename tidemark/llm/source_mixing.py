@@ -7,7 +7,9 @@ Each leaf then gives the prefix of a seeded sequence: all its documents in one s
 another, until the next would exceed its budget.
 
 The prefix needs no global sort: tokens are summed by slices of the order, the slice in which a leaf's budget
-ends is found from the sums, and only that slice is summed row by row; what is left is one cut-off for each leaf.
+ends is found from the sums, digit by digit of the slices' names, and only that slice is summed row by row; what is left is
+one cut-off for each leaf. So however many documents a leaf has, no window holds more than 16 sums of it, or the rows of one
+slice in 4096. The windows of the budgets hold one row for each sibling, so sources, not documents.
 
 Defined results: null texts hold no tokens; a null language or source is the leaf ``none``. Rows of equal keys are
 tied: all or none of them are taken. A leaf without tokens has no budget, and gives nothing. An empty table gives
@@ -17,6 +19,8 @@ through by :func:`mixed`, which replaces clashing ones (domain, n_tokens, epoch)
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +30,8 @@ LEVELS = ("domain", "lang", "source")
 #: Weights by level and name; a name that isn't listed has weight 1.
 WEIGHTS = {"domain": {"domain0": 3, "domain1": 2}, "lang": {"en": 3, "de": 2, "fr": 2}, "source": {}}
 BUDGET_PERCENT = 50
+#: Hexadecimal digits that name a slice.
+DIGITS = 3
 MAX_EPOCHS = 2
 SEED = "mix-1"
 
@@ -83,18 +89,24 @@ def cut_offs(rows: DataFrame, budgets: DataFrame, seed: str = SEED) -> DataFrame
     # Written, so that its size is known where it is joined; a leaf's rows are then dealt out by slice, however many.
     plan = common.cut(budgets.withColumn("epochs", F.expr("budget div available")).withColumn("rest", F.expr("budget % available")), "budgets")
     keyed = rows.join(plan, list(LEVELS)).select(*LEVELS, "epochs", "rest", "n_tokens", order_key(F.col("key"), F.col("epochs"), seed).alias("place"))
-    keyed = keyed.withColumn("slice", F.substring("place", 1, 3)).repartition(*LEVELS, "slice")
-    slices = keyed.groupBy(*LEVELS, "slice").agg(F.sum("n_tokens").alias("n"), F.max("place").alias("last"), F.max("rest").alias("rest"))
-    along = Window.partitionBy(*LEVELS).orderBy("slice")
-    slices = common.cut(slices.withColumn("until", F.sum("n").over(along)).withColumn("from", F.col("until") - F.col("n")), "slices")
-    whole = slices.filter(F.col("until") <= F.col("rest")).groupBy(*LEVELS).agg(F.max("last").alias("last"))
-    ends = slices.filter((F.col("until") > F.col("rest")) & (F.col("from") <= F.col("rest"))).select(*LEVELS, "slice", "from")
+    keyed = keyed.withColumn("slice", F.substring("place", 1, DIGITS)).repartition(*LEVELS, "slice")
+    slices = common.cut(keyed.groupBy(*LEVELS, "slice").agg(F.sum("n_tokens").alias("n"), F.max("place").alias("last")), "slices")
+    at = plan.select(*LEVELS, "rest", F.lit("").alias("in"), F.lit(0).cast("bigint").alias("from"))
+    wholes = []
+    along = Window.partitionBy(*LEVELS).orderBy("part")
+    for digits in range(1, DIGITS + 1):
+        part = F.substring("slice", 1, digits).alias("part")
+        sums = slices.join(at, list(LEVELS)).filter(F.startswith("slice", F.col("in"))).groupBy(*LEVELS, "rest", "from", part).agg(F.sum("n").alias("n"), F.max("last").alias("last"))
+        sums = common.cut(sums.withColumn("until", F.col("from") + F.sum("n").over(along)).withColumn("from", F.col("until") - F.col("n")), "sums")
+        wholes.append(sums.filter(F.col("until") <= F.col("rest")).groupBy(*LEVELS).agg(F.max("last").alias("last")))
+        at = sums.filter((F.col("until") > F.col("rest")) & (F.col("from") <= F.col("rest"))).select(*LEVELS, "rest", F.col("part").alias("in"), "from")
+    ends = at.select(*LEVELS, F.col("in").alias("slice"), "from")
     inside = keyed.join(ends, [*LEVELS, "slice"])
     within = Window.partitionBy(*LEVELS, "slice").orderBy("place")
     # Rows of one place are summed together: the frame is by range.
     inside = inside.withColumn("sum", F.col("from") + F.sum("n_tokens").over(within.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
     part = inside.filter(F.col("sum") <= F.col("rest")).groupBy(*LEVELS).agg(F.max("place").alias("last"))
-    last = whole.unionAll(part).groupBy(*LEVELS).agg(F.max("last").alias("until"))
+    last = reduce(DataFrame.unionAll, wholes, part).groupBy(*LEVELS).agg(F.max("last").alias("until"))
     return common.cut(plan.join(last, list(LEVELS), "left").select(*LEVELS, "epochs", "until"), "cut-offs")
 
 
