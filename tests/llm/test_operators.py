@@ -756,3 +756,12 @@ def test_components(spark):
         parent[rb] = ra
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: root(x) for e in edges for x in e if e[0] != e[1]}
+
+
+def test_components_joined_by_more_edges(spark):
+    first, more = [(1, 2), (3, 4), (5, 6), (9, 8)], [(2, 4), (6, 7), (10, 11), (1, 2), (12, 8)]
+    frame = lambda e: spark.createDataFrame(e, "a long, b long")
+    found = components.components(frame(first))
+    got = {r.node: r.component for r in components.joined(found, frame(more)).collect()}
+    assert got == {r.node: r.component for r in components.components(frame(first + more)).collect()}
+    assert components.joined(found, frame([(1, 2)])).count() == found.count() == 8

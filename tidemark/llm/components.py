@@ -48,9 +48,28 @@ def components(edges: DataFrame) -> DataFrame:
         # Done when every edge points from a node to a root: no node is both, and none has two roots.
         nodes = small.groupBy("a").agg(F.count("*").alias("n"))
         roots = small.select(F.col("b").alias("a")).distinct()
-        open_ = nodes.join(roots, "a", "left_semi").limit(1).count() + nodes.filter("n > 1").limit(1).count()
+        done = nodes.join(roots, "a", "left_semi").select("a").unionAll(nodes.filter("n > 1").select("a")).isEmpty()
         for old in (edges, large):
             common.drop_table(spark, old)
         edges = small
-        if not open_:
+        if done:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def joined(found: DataFrame, more: DataFrame) -> DataFrame:
+    """The components ``found`` (node, component), joined by the edges ``more`` (a, b), which may bring new nodes.
+
+    Only the components are nodes of the graph that is left, and if no edge leads from one to another nothing is left to do.
+    """
+    spark = found.sparkSession
+    of = lambda name: found.select(F.col("node").alias(name), F.col("component").alias(f"{name}_in"))
+    both = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("a_in", "a").alias("a"), F.coalesce("b_in", "b").alias("b"))
+    both = common.cut(both.filter("a <> b").distinct(), "between")
+    if both.isEmpty():
+        common.drop_table(spark, both)
+        return found
+    wider = common.cut(components(both), "wider")
+    common.drop_table(spark, both)
+    old = found.join(wider.select(F.col("node").alias("component"), F.col("component").alias("wider")), "component", "left")
+    new = wider.join(found.select("node"), "node", "left_anti")
+    return old.select("node", F.coalesce("wider", "component").alias("component")).unionAll(new.select("node", "component"))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytescan, common
-from tidemark.llm.components import components
+from tidemark.llm.components import components, joined
 
 PERCENT = 80
 VALUES = 160
@@ -334,7 +334,7 @@ def groups(docs: DataFrame, k: int = 2, key: str = "doc_id", text: str = "text")
     # A key with several texts is in several classes.
     mixed = common.cut(full.groupBy("doc").agg(F.min("d1").alias("least"), F.max("d1").alias("most")).filter("least <> most").select("doc"), "mixed-keys")
     same = full.join(mixed, "doc", "left_semi").join(classes, ["d1", "d2"]).select(F.col("doc").alias("a"), F.col("leader").alias("b"))
-    found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more).unionAll(same))
+    found = joined(found, more.unionAll(same))
 
     class_of = classes.join(found.select(F.col("node").alias("leader"), "component"), "leader", "left").select("d1", "d2", F.coalesce("component", "leader").alias("component"))
     out = sketches.select("doc", "n_shingles", "d1", "d2").withColumn("linked", F.col("n_shingles") > 0)
