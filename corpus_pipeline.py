@@ -1,4 +1,10 @@
-"""A corpus made ready for training, in stages; each stage reads what the one before it wrote."""
+"""A corpus made ready for training, in stages; each stage reads what the one before it wrote.
+
+Defined results, of every stage: an empty table stays empty, and all but the last stage return the columns of their input,
+whatever extra ones there are and however they are named. Null and empty texts have no words, so the first stage rejects
+them; where a later stage is given them, they match, link and hold nothing. Rows that repeat under one key are one document,
+kept or dropped together. A null key is linked with nothing but equal texts, so its rows stay. Long texts are read whole.
+"""
 
 from __future__ import annotations
 

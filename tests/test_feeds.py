@@ -239,6 +239,9 @@ def test_snapshot_and_export(spark, store, tmp_path):
     assert set(written) >= {"index.html", "api/jobs.json", "api/health.json", "api/stats.json"}
     assert json.loads((tmp_path / "site/api/jobs.json").read_text())["count"] == 2
     assert 'data-state="good"' in (tmp_path / "site/index.html").read_text() or 'data-state="warning"' in (tmp_path / "site/index.html").read_text()
+    status, stats = export.api_stats(store, NOW + timedelta(hours=21))
+    assert status == 200 and stats["totals"]["jobs"] == 2 and json.dumps(stats) and export.index(store, NOW + timedelta(hours=21))[1].count("<svg") == 2
+    assert export.main(["--store", store.root, "compact"], spark) == 0 and store.last_snapshot()[0] == store.commits()[-1] and {r.revision for r in run.jobs(store).collect()} == {1, 2}
     assert export.api_jobs(store, 0)[0] == 422 and export.api_jobs(store, 5, "remoteok", "new")[1]["count"] == 1
     assert export.api_health(store, NOW + timedelta(days=9))[0] == 503 and "Run" in export.summary({"run_id": "r", "status": "partial", "checks": []}) and export.exit_code("partial") == 0
 
@@ -306,3 +309,9 @@ def test_fold_is_idempotent(spark):
     assert (once["k1"].revision, once["k1"].last_changed_run_id, once["k1"].first_seen_at) == (2, "r3", 1) and once["k2"].content_hash == "g"
     again = spark.createDataFrame([("k1", 4, 0, "r4", 4, "h2")], df.schema).unionAll(df)
     assert {r.dedup_key: r.revision for r in fold.fold(again, fixed=()).collect()} == {"k1": 2, "k2": 1}
+
+
+def test_charts():
+    svg = export.stacked_days([{"label": "a", "series": [1, 0, 3]}, {"label": "b<", "series": [2, 0, 5]}])
+    assert svg.count("<rect") == 4 and 'data-ceiling="10"' in svg and "b&lt;" in svg and export.stacked_days([]).count("<rect") == 0
+    assert export.bars([("x", 3), ("y", 1)]).count("<rect") == 2 and export.bars([]).count("<rect") == 0

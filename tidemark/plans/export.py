@@ -48,6 +48,28 @@ def nice_ceiling(n: float) -> int:
     return next(int(s * power) for s in STEPS if s * power >= n and s * power == int(s * power))
 
 
+def stacked_days(series: list[dict], width: int = 600, height: int = 120) -> str:
+    """K-09: an SVG of one stacked bar for each day, scaled to the axis' ceiling."""
+    days = list(zip(*(s["series"] for s in series), strict=True))
+    top = nice_ceiling(max(map(sum, days), default=1))
+    step, out = width / max(len(days), 1), []
+    for x, day in enumerate(days):
+        floor = float(height)
+        for layer, n in enumerate(day):
+            tall = height * n / top
+            floor -= tall
+            if n:
+                out.append(f'<rect class="s{layer}" x="{x * step:.1f}" y="{floor:.1f}" width="{step * 0.8:.1f}" height="{tall:.1f}"><title>{html.escape(str(series[layer]["label"]))}: {n}</title></rect>')
+    return f'<svg viewBox="0 0 {width} {height}" data-ceiling="{top}" role="img">{"".join(out)}</svg>'
+
+
+def bars(items: list[tuple[str, float]], width: int = 600, row: int = 18) -> str:
+    """K-09: an SVG of horizontal bars, the longest as wide as the axis' ceiling allows."""
+    top = nice_ceiling(max((n for _, n in items), default=1))
+    out = [f'<rect x="0" y="{i * row}" width="{width * n / top:.1f}" height="{row - 4}"></rect><text x="4" y="{i * row + row - 7}">{html.escape(str(name))}: {n:g}</text>' for i, (name, n) in enumerate(items)]
+    return f'<svg viewBox="0 0 {width} {max(len(items), 1) * row}" data-ceiling="{top}" role="img">{"".join(out)}</svg>'
+
+
 def snapshot(store: Store, now: datetime, settings: run.Settings = run.Settings()) -> dict:
     """All that the page shows; every query is one plan over the log, and only its result is collected."""
     as_of = F.lit(now).cast("timestamp")
@@ -86,6 +108,17 @@ def api_jobs(store: Store, limit: int = 40, source: str | None = None, q: str |
     return 200, {"count": len(found), "jobs": found}
 
 
+def api_stats(store: Store, now: datetime, settings: run.Settings = run.Settings()) -> tuple[int, dict]:
+    """K-08: all that the page shows, as JSON."""
+    return 200, snapshot(store, now, settings)
+
+
+def index(store: Store, now: datetime, settings: run.Settings = run.Settings(), jobs: int = 25) -> tuple[int, str]:
+    """K-08: the page itself, over the state of the store."""
+    newest = analytics.recent_jobs(run.jobs(store), jobs)
+    return 200, page(snapshot(store, now, settings), rows(slim(newest).withColumn("salary", text.salary_label(F.col("salary_min"), F.col("salary_max"), F.col("salary_currency")))))
+
+
 def page(snap: dict, jobs: list[dict]) -> str:
     """K-05: one self-contained page."""
     e = lambda v: html.escape(str(v if v is not None else "—"))
@@ -93,16 +126,16 @@ def page(snap: dict, jobs: list[dict]) -> str:
     table = lambda head, body: f"<table><tr>{''.join(f'<th>{e(h)}</th>' for h in head)}</tr>{''.join('<tr>' + ''.join(f'<td>{e(c)}</td>' for c in r) + '</tr>' for r in body)}</table>"
     link = lambda u: e(u) if str(u).lower().startswith(("http://", "https://")) else "#"
     listed = "".join(f'<li><a href="{link(j["url"])}">{e(j["title"])}</a> — {e(j["company"])}, {e(j["location"])}, {e(j["salary"])}</li>' for j in jobs)
-    top = nice_ceiling(max([sum(day) for day in zip(*(s["series"] for s in snap["daily"]), strict=True)] or [1]))
-    bars = "".join(f"<li>{e(s['label'])}: {e(sum(s['series']))}</li>" for s in snap["daily"])
+    legend = "".join(f"<li>{e(s['label'])}: {e(sum(s['series']))}</li>" for s in snap["daily"])
     health = snap["health"]
     return (
         f'<!doctype html><html lang="en"><head><meta charset="utf-8"><title>Postings</title></head><body data-state="{e(health["state"])}">'
         f"<h1>{e(health['label'])}</h1><p>{e(health['consecutive_days'])} days in a row; generated {e(snap['generated_at'])}</p><ul id=\"totals\">{tiles}</ul>"
-        f'<h2>Daily</h2><ul id="daily" data-ceiling="{top}">{bars}</ul>'
+        f'<h2>Daily</h2>{stacked_days(snap["daily"])}<ul id="daily">{legend}</ul>'
+        f"<h2>Sources</h2>{bars([(s['label'], s['count']) for s in snap['by_source']])}"
         f"<h2>Companies</h2>{table(('company', 'postings', 'sources'), [(c['company'], c['count'], c['sources']) for c in snap['top_companies']])}"
         f"<h2>Quarantine</h2>{table(('code', 'source', 'n', 'example'), [(c['code'], c['label'], c['count'], c['example']) for c in snap['quarantine_breakdown']])}"
-        f"<h2>Found twice</h2>{table(('company', 'title', 'kind', 'n'), [(g['company'], g['title'], g['kind'], len(g['rows'])) for g in snap['duplicates']])}"
+        f"<h2>Found twice</h2>{table(('company', 'title', 'kind', 'n'), [(g['company'], g['title'], g['kind'], g['n']) for g in snap['duplicates']])}"
         f"<h2>Runs</h2>{table(('run', 'status', 'started'), [(r['id'], r['status'], r['started_at']) for r in snap['runs']])}"
         f'<h2>Newest</h2><ul id="jobs">{listed}</ul></body></html>'
     )
@@ -150,6 +183,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     sub.add_parser("status").add_argument("--json", action="store_true")
     r = sub.add_parser("run")
     r.add_argument("landing", help="Parquet folder of landed bodies")
+    sub.add_parser("compact")
     x = sub.add_parser("export")
     x.add_argument("out")
     x.add_argument("--allow-empty", action="store_true")
@@ -167,6 +201,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             return 0
         print(summary(report))
         return exit_code(report["status"])
+    if args.command == "compact":  # later folds start from here; nobody may commit meanwhile
+        with store.lease(f"cli/{os.getpid()}", settings.lease_seconds):
+            if done := store.commits():
+                store.write_snapshot(run.jobs(store), done[-1])
+                print(f"snapshot up to commit {done[-1]}")
     if args.command == "status":
         snap = {"jobs": run.jobs(store).count(), "quarantined": run.quarantine(store).count(), "tasks": rows(analytics.task_histogram(run.tasks(store))), "health": api_health(store, now, settings)[1]}
         print(json.dumps(snap, indent=2) if args.json else f"{snap['jobs']} postings, {snap['quarantined']} quarantined; {snap['health']['label']}")
