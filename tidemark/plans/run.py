@@ -33,6 +33,15 @@ class Settings:
     parser_health_ratio: float = verdict.PARSER_HEALTH_RATIO
     stale_after_hours: int = 30
     lease_seconds: float = 300
+    requests_at_once: int = 8
+    request_timeout: float = 30.0
+    request_attempts: int = 5
+    backoff_base: float = 1.0
+    backoff_cap: float = 60.0
+    heed_robots: bool = True
+    agent: str = "tidemark/1"
+    threads: int = 2
+    sources: tuple[str, ...] = schema.SOURCES
 
     @classmethod
     def from_env(cls, env: dict[str, str]) -> Settings:
@@ -40,8 +49,19 @@ class Settings:
         return cls(
             n(env.get("MAX_ATTEMPTS"), cls.max_attempts), n(env.get("MAX_QUARANTINE_RATE"), cls.max_quarantine_rate, float), n(env.get("PARSER_HEALTH_RATIO"), cls.parser_health_ratio, float),
             n(env.get("STALE_AFTER_HOURS"), cls.stale_after_hours), n(env.get("LEASE_SECONDS"), cls.lease_seconds, float),
+            n(env.get("REQUESTS_AT_ONCE"), cls.requests_at_once), n(env.get("REQUEST_TIMEOUT"), cls.request_timeout, float), n(env.get("REQUEST_ATTEMPTS"), cls.request_attempts),
+            n(env.get("BACKOFF_BASE"), cls.backoff_base, float), n(env.get("BACKOFF_CAP"), cls.backoff_cap, float), requests.env_bool(env.get("HEED_ROBOTS"), cls.heed_robots),
+            env.get("AGENT") or cls.agent, n(env.get("THREADS"), cls.threads), tuple(s.strip() for s in env.get("SOURCES", "").split(",") if s.strip()) or cls.sources,
         )
 
+    def fetcher(self):
+        """S-12: a fetcher by these settings."""
+        from functools import partial
+
+        from tidemark.sources import fetch
+
+        return fetch.Fetcher(partial(fetch.over_http, timeout=self.request_timeout), attempts=self.request_attempts, base=self.backoff_base, cap=self.backoff_cap, at_once=self.requests_at_once, agent=self.agent, heed_robots=self.heed_robots)
+
 
 def _events(store: Store, rows: list[dict]) -> DataFrame:
     return store.spark.createDataFrame([{f: r.get(f) for f in schema.LEDGER.names} for r in rows], schema.LEDGER)
