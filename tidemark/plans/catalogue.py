@@ -171,8 +171,8 @@ SELECT count(*) AS consecutive_days FROM g WHERE island = (SELECT max(island) FR
 def streak(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W-02, A-23; today is the day after the last good run."""
     days = runs(spark, sf_dir).filter("status <> 'failed'").select(F.to_date("finished_at").alias("day"))
-    last = days.agg(F.max("day")).first()[0]
-    return analytics.streak(days, F.date_add(F.lit(last), 1))
+    last = days.agg(F.max("day").alias("last")).scalar()
+    return analytics.streak(days, F.date_add(last, 1))
 
 
 @query("SELECT 'user' || user_id AS company, count(*) AS count, count(DISTINCT event_type) AS sources FROM events GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 12")
@@ -332,10 +332,10 @@ FROM (SELECT hours, (SELECT max(finished_at) FROM runs) + to_hours(hours) AS now
 def health_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H-06 at three distances from the last run."""
     rows = runs(spark, sf_dir)
-    last = rows.agg(F.max("finished_at")).first()[0]
+    last = rows.agg(F.max("finished_at").alias("last")).scalar()
     out = None
     for hours in (1, 20, 40):
-        now = F.lit(last).cast("timestamp_ntz") + F.expr(f"INTERVAL {hours} HOURS")
+        now = last + F.expr(f"INTERVAL {hours} HOURS")
         own = analytics.health(rows, now).select(F.lit(hours).alias("hours"), "state")
         out = own if out is None else out.unionAll(own)
     return out
@@ -369,7 +369,7 @@ def run_recount(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     day = F.to_date("ts")
     rows = events.select("user_id", day.alias("seq"), day.cast("string").alias("run_id"), day.alias("seen_at"), F.col("ts").alias("at"), F.col("event_id").alias("pos"), F.col("event_type").alias("content_hash"))
-    last = events.agg(F.max(day).cast("string")).first()[0]
+    last = events.agg(F.max(day).cast("string").alias("last")).scalar()
     return analytics.recount(fold.fold(rows, key="user_id", order=("at", "pos"), fixed=()), last)
 
 
