@@ -198,7 +198,7 @@ def plain_page(rows, min_articles):
     return {i: " ".join(texts(tree, {x for (h, x), n in seen.items() if h == host and len(n) >= min_articles})) for i, (host, tree) in trees.items()}
 
 
-def test_templates_are_found_by_count_alone(spark):
+def test_templates_are_found_by_count_alone(spark, monkeypatch):
     """Every tag a div, every name another on each page: menus, footers and side boxes still go, by their counts."""
     draw, rows, want = random.Random(17), [], {}
     sites = {f"s{k}.example.com": [[prose(draw.randint(1, 3), draw) for _ in range(5)] for _ in range(3)] for k in range(3)}
@@ -216,6 +216,8 @@ def test_templates_are_found_by_count_alone(spark):
     assert got == {i: " ".join(t.split()) for i, t in plain_page(rows, html_text.MIN_ARTICLES).items()}
     boilerplate = {t for site in sites.values() for part in site for t in part}
     assert all(" ".join(want[i].split()[:12]) in t and len(t.split()) - len(want[i].split()) <= 2 for i, t in got.items()) and boilerplate
+    monkeypatch.setattr(html_text, "FEW_PAGES", 0)
+    assert got == {i: r.text for i, r in by_id(html_text.extract(frame), "page_id").items()}
     with_no_counts = {i: r.text for i, r in by_id(html_text.extract(frame, min_articles=10**9), "page_id").items()}
     assert all(len(with_no_counts[i]) > len(got[i]) for i in got)
 

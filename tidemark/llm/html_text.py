@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import common
 from tidemark.llm.url_filters import host_of
 
+#: With no more pages than this that hold a template, Spark chooses the join by the size of what was written about them.
+FEW_PAGES = 20_000
 #: A subtree is a template if it occurs with so many different articles of a host.
 MIN_ARTICLES = 5
 
@@ -333,7 +335,9 @@ def extract(pages: DataFrame, key: str = "page_id", min_articles: int = MIN_ARTI
     for old in (seen, templates):
         common.drop_table(spark, old)
     kind = pages.schema[key].dataType.simpleString()
-    out = rows.join(of_page.hint("shuffle_hash"), ["host", "page"], "left").select("page_id", "url", "html", "templates").mapInArrow(_extract, f"page_id {kind}, url string, text string, n_chars bigint")
+    # Many of them are hashed by partition, as sorting would move and order every html; few are broadcast, if they are small.
+    of_page = of_page if of_page.count() <= FEW_PAGES else of_page.hint("shuffle_hash")
+    out = rows.join(of_page, ["host", "page"], "left").select("page_id", "url", "html", "templates").mapInArrow(_extract, f"page_id {kind}, url string, text string, n_chars bigint")
     return out.withColumnRenamed("page_id", key)
 
 
