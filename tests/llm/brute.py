@@ -90,3 +90,23 @@ UNIT = re.compile(f"[{NO_SPACES}]|(?:(?![{NO_SPACES}\u3000-\u303f])[0-9a-z\x80-\
 
 def words(text):
     return UNIT.findall((text or "").lower())
+
+
+def budgets(leaves: dict[tuple, int], weights: list[dict], budget: int, epochs: int) -> dict[tuple, int]:
+    """Water-filling down a tree: ``leaves`` by path; siblings that can't take their share are filled and leave, until none is left."""
+    if not weights:
+        return {(): budget}
+    names = {k[0] for k in leaves}
+    cap = {n: epochs * sum(v for k, v in leaves.items() if k[0] == n) for n in names}
+    w = {n: weights[0].get(n, 1) for n in names}
+    given, open_ones, rest = {}, set(names), budget
+    while open_ones:
+        all_w = sum(w[n] for n in open_ones)
+        filled = {n for n in open_ones if cap[n] * all_w <= rest * w[n]}
+        if not filled:
+            given |= {n: rest * w[n] // all_w for n in open_ones}
+            break
+        given |= {n: cap[n] for n in filled}
+        rest -= sum(cap[n] for n in filled)
+        open_ones -= filled
+    return {(n, *below): b for n in names for below, b in budgets({k[1:]: v for k, v in leaves.items() if k[0] == n}, weights[1:], given[n], epochs).items()}

@@ -587,6 +587,24 @@ def test_shortages_go_to_siblings_first(spark):
     assert got == {"s1": 10, "s2": 366, "s3": 376, "s4": 752}
 
 
+@pytest.mark.parametrize("seed, percent, epochs", [(1, 50, 2), (2, 97, 1), (3, 10, 2), (4, 100, 1), (5, 0, 1)])
+def test_budgets_equal_plain_ones(spark, seed, percent, epochs):
+    draw = random.Random(seed)
+    weights = {"domain": {"d1": 3}, "lang": {"en": 7, "de": 2}, "source": {"s7": 5, "s8": 900}}
+    amount = lambda: draw.choice([1, 2, 3, 50, 50, 50, draw.randint(1, 10**4), draw.randint(1, 10**9)])  # noqa: E731 - ties and wide gaps
+    rows = {(d, lang, f"s{s}"): amount() for d in ("d0", "d1", "d2") for lang in ("en", "de", "fr") for s in range(draw.randint(1, 300))}
+    leaves = spark.createDataFrame([(*k, n) for k, n in rows.items()], "domain string, lang string, source string, available long")
+    got = {(r.domain, r.lang, r.source): r.budget for r in source_mixing.leaf_budgets(leaves, weights, percent, epochs).collect()}
+    assert got == brute.budgets(rows, [weights[level] for level in source_mixing.LEVELS], sum(rows.values()) * percent // 100, epochs)
+
+
+def test_budgets_of_very_many_tokens_and_sources(spark):
+    leaves = spark.range(50_000).select(F.lit("d").alias("domain"), F.lit("en").alias("lang"), F.col("id").cast("string").alias("source"), (F.lit(10**13) + F.col("id")).alias("available"))
+    budgets = source_mixing.leaf_budgets(leaves, {}, 50, 1)
+    total = sum(range(50_000)) + 50_000 * 10**13
+    assert {r.budget for r in budgets.collect()} == {total // 2 // 50_000}
+
+
 # -- 9 ------------------------------------------------------------------------------
 
 URLS = [

@@ -9,7 +9,8 @@ another, until the next would exceed its budget.
 The prefix needs no global sort: tokens are summed by slices of the order, the slice in which a leaf's budget
 ends is found from the sums, digit by digit of the slices' names, and only that slice is summed row by row; what is left is
 one cut-off for each leaf. So however many documents a leaf has, no window holds more than 16 sums of it, or the rows of one
-slice in 4096. The windows of the budgets hold one row for each sibling, so sources, not documents.
+slice in 4096. The budgets are found in the same way, from sums over slices of siblings, so a parent may have any number of
+children: a window holds some hundred sums, or the ratios within one slice, 0.02 % wide.
 
 Defined results: null texts hold no tokens; a null language or source is the leaf ``none``. Rows of equal keys are
 tied: all or none of them are taken. A leaf without tokens has no budget, and gives nothing. An empty table gives
@@ -30,7 +31,9 @@ LEVELS = ("domain", "lang", "source")
 #: Weights by level and name; a name that isn't listed has weight 1.
 WEIGHTS = {"domain": {"domain0": 3, "domain1": 2}, "lang": {"en": 3, "de": 2, "fr": 2}, "source": {}}
 BUDGET_PERCENT = 50
-#: Hexadecimal digits that name a slice.
+#: Slices of siblings by the ratio of what they can take to their weight, for each doubling of it, coarse and fine.
+FINENESS = (16, 4096)
+#: Hexadecimal digits that name a slice of a leaf's order.
 DIGITS = 3
 MAX_EPOCHS = 2
 SEED = "mix-1"
@@ -62,24 +65,42 @@ def _weight(level: str, weights: dict) -> Column:
     return out.cast("bigint")
 
 
+def _levels(nodes: DataFrame, above: list[str]) -> DataFrame:
+    """``above``, level, before, behind: where the water stands among the siblings of each parent.
+
+    ``nodes`` has ``above``, budget, cap, w and ratio (cap / w). Those of a ratio under ``level`` take all they can, ``before``
+    in sum; the others, ``behind`` by the sum of their weights, share the rest. Parents whose children all take all they can are left out.
+    The level is found from sums over slices of the ratio, each step within the slice that the last one found.
+    """
+    at = nodes.groupBy(*above).agg(F.sum("w").alias("behind")).withColumn("before", F.lit(0).cast("bigint"))
+    parts = [F.floor(F.log2("ratio") * n) for n in FINENESS] + [F.col("ratio")]
+    along = Window.partitionBy(*above).orderBy("part")
+    wide = lambda c: F.col(c).cast("decimal(19,0)")  # noqa: E731 - tokens times weights pass 64 bits
+    for outer, part in zip([None, *parts], parts, strict=False):
+        inside = nodes.join(at, above)
+        if outer is not None:
+            inside = inside.filter(outer == F.col("level"))
+        sums = inside.groupBy(*above, "budget", "before", "behind", part.alias("part")).agg(F.sum("cap").alias("c"), F.sum("w").alias("v"), F.max(F.struct("ratio", "cap", "w")).alias("top"))
+        sums = sums.withColumn("until", F.col("before") + F.sum("c").over(along)).withColumn("later", F.col("behind") - F.sum("v").over(along))
+        # A slice takes all it can if the last of it does, the one of the largest ratio.
+        sums = sums.withColumn("left", F.col("budget") - F.col("until") + F.col("top.cap")).withColumn("sharers", F.col("later") + F.col("top.w"))
+        full = wide("top.cap") * wide("sharers") <= wide("left") * wide("top.w")
+        end = F.struct("part", (F.col("until") - F.col("c")).alias("before"), (F.col("later") + F.col("v")).alias("behind"))
+        at = sums.groupBy(*above).agg(F.min(F.when(~full, end)).alias("end")).filter("end IS NOT NULL").select(*above, F.col("end.part").alias("level"), "end.before", "end.behind")
+    return at
+
+
 def leaf_budgets(leaves: DataFrame, weights: dict = WEIGHTS, budget_percent: int = BUDGET_PERCENT, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """LEVELS, available, budget of ``leaves`` (LEVELS, available); one row for each leaf."""
     spread = leaves.agg(F.coalesce(F.sum("available"), F.lit(0)).alias("all"))
-    given = spread.select(F.expr(f"all * {budget_percent} div 100").alias("budget"))
-    above: list[str] = []
-    for depth, level in enumerate(LEVELS):
-        names = list(LEVELS[: depth + 1])
-        nodes = leaves.groupBy(*names).agg((F.sum("available") * max_epochs).alias("cap")).filter("cap > 0").withColumn("w", _weight(level, weights))
-        nodes = nodes.join(given, above) if above else nodes.join(F.broadcast(given), F.lit(True))
-        siblings = Window.partitionBy(*above) if above else Window.partitionBy(F.lit(0))
-        ranked = siblings.orderBy(F.col("cap") / F.col("w"), level)
-        nodes = nodes.withColumn("before", F.coalesce(F.sum("cap").over(ranked.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        nodes = nodes.withColumn("behind", F.sum("w").over(ranked.rowsBetween(Window.currentRow, Window.unboundedFollowing))).withColumn("at", F.row_number().over(ranked))
-        # In this order those that can't take their share come first; the first that can sets the rate of the rest.
-        full = F.col("cap") * F.col("behind") <= (F.col("budget") - F.col("before")) * F.col("w")
-        nodes = nodes.withColumn("rate", F.min(F.when(~full, F.struct("at", "before", "behind"))).over(siblings))
-        share = F.when(F.col("rate").isNull() | (F.col("at") < F.col("rate.at")), F.col("cap")).otherwise(F.expr("(budget - rate.before) * w div rate.behind"))
-        given = nodes.select(*names, share.alias("budget"))
+    given = F.broadcast(spread.select(F.lit("all").alias("tree"), F.expr(f"all div 100 * {budget_percent} + all % 100 * {budget_percent} div 100").alias("budget")))
+    above = ["tree"]
+    for level in LEVELS:
+        names = [*above, level]
+        nodes = leaves.withColumn("tree", F.lit("all")).groupBy(*names).agg((F.sum("available") * max_epochs).alias("cap")).filter("cap > 0").withColumn("w", _weight(level, weights))
+        nodes = common.cut(nodes.join(given, above).withColumn("ratio", F.col("cap") / F.col("w")), "nodes")
+        share = F.when(F.col("level").isNull() | (F.col("ratio") < F.col("level")), F.col("cap")).otherwise(F.expr("(budget - before) * w div behind"))
+        given = nodes.join(_levels(nodes, above), above, "left").select(*names, share.alias("budget"))
         above = names
     return leaves.join(given, list(LEVELS)).select(*LEVELS, "available", "budget")
 
