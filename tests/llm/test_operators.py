@@ -293,6 +293,16 @@ def test_leaks(spark, docs, empty):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, _ in DOCS} - {d for d, _ in got}
 
 
+def test_blocks_of_items_one_after_another(spark, docs, monkeypatch):
+    items = [(i, prose(30, random.Random(i))) for i in range(20)] + [(99, PASSAGE)] * 3
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    hits, kept = sorted(decontamination.leaks(docs, benchmark).collect()), sorted(decontamination.clean(docs, benchmark).collect(), key=str)
+    assert {h.item_id for h in hits} == {99}
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 2000)
+    assert len(list(decontamination._blocks(benchmark, "item_id", "text"))) == 3
+    assert sorted(decontamination.leaks(docs, benchmark).collect()) == hits and sorted(decontamination.clean(docs, benchmark).collect(), key=str) == kept
+
+
 def test_short_items_and_scripts_without_spaces(spark):
     question = "東京の人口は何人ですか。また、面積はどのくらいですか"
     items = [(0, "What is 2 + 2?"), (1, question), (2, "two words"), (3, "ประเทศไทยมีกี่จังหวัด"), (4, "word")]

@@ -277,7 +277,7 @@ def tables_needed(ids: list[int], texts: list[bytes], target: float = TARGET_REC
 
 def _blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[tuple[list, list[bytes]]]:
     """The items in blocks of about BLOCK_BYTES, one at a time; the whole benchmark may be larger than the driver."""
-    items = benchmark.select(F.col(key).alias("key"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text"))
+    items = benchmark.select(F.col(key).alias("key"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text")).distinct()
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-size // BLOCK_BYTES))
     for b in range(blocks):
@@ -314,7 +314,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", item_key:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that no item leaks into, with their columns; documents are never shuffled."""
+    """The rows of ``docs`` that no item leaks into, with their columns; documents are never shuffled.
+
+    What one block leaves is written before the next is read, so a task holds one block at a time.
+    """
     spark = docs.sparkSession
     common.small_batches(spark)
     marked = len(docs.columns)
@@ -322,7 +325,13 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFram
     while extra in {c.lower() for c in docs.columns}:
         extra += "_"
     lowered = docs.select("*", F.lower(F.col(text)).alias(extra))
-    for ids, texts in _blocks(benchmark, "item_id", "text"):
+    before = None
+    for at, (ids, texts) in enumerate(_blocks(benchmark, "item_id", "text")):
+        if at:
+            lowered = common.cut(lowered, "cleaned")
+            if before is not None:
+                common.drop_table(spark, before)
+            before = lowered
         shared = spark.sparkContext.broadcast((ids, texts, tables_needed(ids, texts)))
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
