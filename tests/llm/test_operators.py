@@ -759,6 +759,36 @@ def test_pairs_just_over_the_limit_among_much_boilerplate(spark, monkeypatch):
     assert {d: (r.n_shingles, r.component_id) for d, r in got.items()} == want
 
 
+@pytest.mark.parametrize("leaders", [1024, 60])
+def test_leaves_that_overlap_are_compared_as_one(spark, monkeypatch, leaders):
+    """Every pair of a leaf still meets in a region, leaves that share one document only are kept apart, and fewer rows are dealt."""
+    monkeypatch.setattr(near_duplicates, "REGION_LEADERS", leaders)
+    draw = random.Random(34)
+    leaves = [[d for d in range(200) if draw.random() < 0.9] for _ in range(40)]
+    hub = spark.range(1000, 2000).orderBy(F.xxhash64("id")).first().id
+    apart = [[hub, *range(2000 + 30 * i, 2030 + 30 * i)] for i in range(12)]
+    label = {d: 0 if d < 100 else d for leaf in leaves + apart for d in leaf}
+    rows = [(i, d, 50, None, 0) for i, leaf in enumerate(leaves + apart) for d in leaf]
+    places = spark.createDataFrame(rows, "leaf long, doc long, n long, before long, common int")
+    found = spark.createDataFrame([(d, 0) for d in range(100)], "node long, component long")
+    got, where = near_duplicates._blockwise(places, found).collect(), {}
+    for r in got:
+        assert r.label == label[r.doc]
+        where.setdefault(r.doc, set()).add(r.region)
+    assert all(label[a] == label[b] or where[a] & where[b] for leaf in leaves + apart for a in leaf for b in leaf)
+    assert max(sum(r.region == x and r.doc >= 1000 for r in got) for x in where[hub]) <= 31
+    assert sum(r.doc < 1000 for r in got) < sum(map(len, leaves)) / 2
+
+
+def test_next_neighbours_are_untried_and_of_other_components(spark):
+    places = spark.createDataFrame([(0, 1, 9, None, 0), (0, 2, 9, 1, 9), (0, 3, 9, 2, 7), (0, 4, 9, 3, 8), (1, 1, 9, None, 0), (1, 3, 9, 1, 6)], "leaf long, doc long, n long, before long, common int")
+    frame = lambda rows, names: spark.createDataFrame(rows, names)
+    first = {tuple(r) for r in near_duplicates._nearest(places).collect()}
+    assert first == {(1, 2), (3, 4)}
+    found, tried = frame([(1, 1), (2, 1)], "node long, component long"), frame(sorted(first), "a long, b long")
+    assert {tuple(r) for r in near_duplicates._nearest(places, found, tried).collect()} == {(1, 3), (2, 3)}
+
+
 def test_keys_of_several_texts_are_one_document(spark):
     draw = random.Random(32)
     a, b = prose(60, draw), prose(60, draw)

@@ -6,11 +6,13 @@
    the sorted rows gives each leader its neighbours and their longest common prefixes. Leaders that share the first
    DEPTH values are in one leaf, and all pairs of a leaf are candidates.
 3. Depth adapts to the region. First, each leader is compared with the neighbour of its longest common prefix in any tree;
-   where copies are dense that prefix is deep, and these links already join most of them.
+   where copies are dense that prefix is deep, and these links already join most of them. A second round does so with
+   neighbours that were not tried and are of another component by then.
 4. Then every leaf at DEPTH that still holds several components is compared block against block, in tasks of bounded
    size: the leaders outside the leaf's largest component with one another and with all of that component. Pairs within
    a component are skipped and no pairs are written, but each candidate is judged, whatever the size of its leaf:
-   signatures first, and those that may be alike on their full sets.
+   signatures first, and those that may be alike on their full sets. A dense group has a leaf of much the same documents
+   in every tree; leaves that hold the same head are compared as one where that deals fewer rows.
 5. The confirmed links' connected components are the groups.
 
 With 40 trees of depth 6, a pair of similarity 0.8 misses every tree with a chance of about 1 in 10,000. Labels hold one
@@ -44,6 +46,10 @@ DEEPEST = 16
 #: What one task compares: leaders, and members of their sets (8 bytes each).
 REGION_LEADERS = 1024
 REGION_MEMBERS = 4_000_000
+#: Rounds in which each leader is compared with one neighbour.
+ROUNDS = 2
+#: Leaves are compared as one only if so many times the pairs, at most, are judged.
+MORE_PAIRS = 4
 
 _DRAW = np.random.Generator(np.random.PCG64(1007))
 MULTIPLIERS = _DRAW.integers(0, 1 << 63, VALUES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -280,29 +286,67 @@ def _links(parts: DataFrame, sets: DataFrame) -> DataFrame:
     return full.repartition(F.col("region")).sortWithinPartitions("region", "doc").mapInArrow(_link, "a bigint, b bigint")
 
 
+def _nearest(places: DataFrame, found: DataFrame | None = None, tried: DataFrame | None = None) -> DataFrame:
+    """a, b: each document and its neighbour of the longest common prefix in any tree, on either side.
+
+    With ``found`` (node, component) and ``tried`` (a, b), neighbours of the same component and tried pairs don't count.
+    """
+    pairs = places.filter("before <> doc").select(F.least("doc", "before").alias("a"), F.greatest("doc", "before").alias("b"), "common")
+    if found is not None:
+        pairs = pairs.groupBy("a", "b").agg(F.max("common").alias("common")).join(tried, ["a", "b"], "left_anti")
+        of = lambda name: found.select(F.col("node").alias(name), F.col("component").alias(f"{name}_in"))
+        pairs = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").filter("coalesce(a_in, a) <> coalesce(b_in, b)").select("a", "b", "common")
+    pairs = pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "common"))
+    best = pairs.groupBy("a").agg(F.max(F.struct("common", "b")).alias("best")).select("a", "best.b")
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _regions(pairs: DataFrame) -> DataFrame:
+    """region, doc, label: a region for each pair (a, b)."""
+    return pairs.select(F.xxhash64("a", "b").alias("region"), F.explode(F.array("a", "b")).alias("doc")).withColumn("label", F.col("doc"))
+
+
 def _blocks(count: F.Column, members: F.Column) -> F.Column:
     """Blocks of which two make what one task compares."""
     return F.greatest(F.lit(1), F.ceil(2 * count / REGION_LEADERS), F.ceil(2 * members / REGION_MEMBERS)).cast("int")
 
 
+def _open(rows: DataFrame) -> DataFrame:
+    """Of each leaf of ``rows`` (leaf, doc, n, label) that holds several labels: its largest one, its blocks, the rows and pairs that they make.
+
+    ``count``, ``x`` and ``y`` tell its documents from others, ``head`` is the least hash of them.
+    """
+    sign = lambda salt: F.bit_xor(F.xxhash64("doc", F.lit(salt)))
+    parts = rows.groupBy("leaf", "label").agg(F.count("*").alias("c"), F.sum("n").alias("m"), sign(0).alias("x"), sign(1).alias("y"), F.min(F.xxhash64("doc")).alias("head"))
+    leaf = parts.groupBy("leaf").agg(F.max(F.struct("c", "label", "m")).alias("major"), F.sum("c").alias("count"), F.sum("m").alias("members"), F.count("*").alias("labels"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"), F.min("head").alias("head"))
+    minor = F.col("count") - F.col("major.c")
+    leaf = leaf.filter("labels > 1").withColumn("few", _blocks(minor, F.col("members") - F.col("major.m"))).withColumn("many", _blocks(F.col("major.c"), F.col("major.m")))
+    return leaf.select("leaf", "head", F.col("major.label").alias("most"), "few", "many", (minor * (F.col("few") + F.col("many") - 1) + F.col("major.c") * F.col("few")).alias("dealt"), (minor * F.col("count")).alias("judged"), "count", "x", "y")
+
+
 def _blockwise(places: DataFrame, found: DataFrame) -> DataFrame:
     """region, doc, label: pairs of blocks of the leaves that hold several components of ``found`` (node, component).
 
-    The leaders outside a leaf's largest component come first, in ``few`` blocks, the others in ``many``; every block meets each
-    of the first ones. Pairs inside a block are seen there too. Leaves of the same documents are compared once.
+    Leaves of the same documents are compared once. Leaves of one head, most of which overlap, are compared as one where that
+    deals fewer rows; all of them hold the head, so a union is of TREES leaves at most.
+
+    The leaders outside the largest component come first, in ``few`` blocks, the others in ``many``; every block meets each
+    of the first ones. Pairs inside a block are seen there too.
     """
     label = found.select(F.col("node").alias("doc"), "component")
     rows = common.cut(places.select("leaf", "doc", "n").distinct().join(label, "doc", "left").select("leaf", "doc", "n", F.coalesce("component", "doc").alias("label")), "labelled")
-    sign = lambda salt: F.bit_xor(F.xxhash64("doc", F.lit(salt)))
-    parts = rows.groupBy("leaf", "label").agg(F.count("*").alias("c"), F.sum("n").alias("m"), sign(0).alias("x"), sign(1).alias("y"))
-    leaf = parts.groupBy("leaf").agg(F.max(F.struct("c", "label", "m")).alias("major"), F.sum("c").alias("count"), F.sum("m").alias("members"), F.count("*").alias("labels"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
-    leaf = leaf.filter("labels > 1").groupBy("count", "x", "y").agg(F.min(F.struct("leaf", "major", "members")).alias("one")).select("count", "one.*")
-    leaf = leaf.select("leaf", F.col("major.label").alias("most"), _blocks(F.col("count") - F.col("major.c"), F.col("members") - F.col("major.m")).alias("few"), _blocks(F.col("major.c"), F.col("major.m")).alias("many"))
-    leaf = common.cut(leaf, "open-leaves")
+    plan = ["leaf", "most", "few", "many"]
+    leaves = common.cut(_open(rows).groupBy("count", "x", "y").agg(F.min(F.struct("head", *plan, "dealt", "judged")).alias("one")).select("one.*"), "open-leaves")
+    unions = common.cut(rows.join(leaves.select("leaf", "head"), "leaf").select(F.col("head").alias("leaf"), "doc", "n", "label").distinct(), "unions")
+    apart = leaves.groupBy("head").agg(F.sum("dealt").alias("dealt_apart"), F.sum("judged").alias("judged_apart"))
+    merged = _open(unions).select(*plan, "dealt", "judged").join(apart.withColumnRenamed("head", "leaf"), "leaf").filter(f"dealt <= dealt_apart AND judged <= {MORE_PAIRS} * judged_apart")
+    merged = common.cut(merged.select(plan), "merged")
+    alone = leaves.join(merged.select(F.col("leaf").alias("head")), "head", "left_anti").select(plan)
+    dealt = unions.join(merged, "leaf").withColumn("union", F.lit(True)).unionAll(rows.join(alone, "leaf").select(*unions.columns, *plan[1:]).withColumn("union", F.lit(False)))
     minor, hashed = F.col("label") != F.col("most"), F.xxhash64("doc")
-    dealt = rows.join(leaf, "leaf").withColumn("block", F.when(minor, F.pmod(hashed, F.col("few"))).otherwise(F.col("few") + F.pmod(hashed, F.col("many"))))
+    dealt = dealt.withColumn("block", F.when(minor, F.pmod(hashed, F.col("few"))).otherwise(F.col("few") + F.pmod(hashed, F.col("many"))))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(minor, F.col("few") + F.col("many") - 1).otherwise(F.col("few") - 1)))).filter("block <> other")
-    return dealt.select(F.xxhash64("leaf", F.least("block", "other"), F.greatest("block", "other")).alias("region"), "doc", "label")
+    return dealt.select(F.xxhash64("union", "leaf", F.least("block", "other"), F.greatest("block", "other")).alias("region"), "doc", "label")
 
 
 def groups(docs: DataFrame, k: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -320,15 +364,15 @@ def groups(docs: DataFrame, k: int = 2, key: str = "doc_id", text: str = "text")
     places = common.cut(ordered.mapInArrow(_neighbours, "leaf bigint, doc bigint, n bigint, before bigint, common int"), "places")
     common.drop_table(spark, forest)
 
-    # The neighbour of the longest common prefix in any tree, on either side.
-    pairs = places.filter("before <> doc").select(F.col("doc").alias("a"), F.col("before").alias("b"), "common")
-    pairs = pairs.unionAll(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "common"))
-    best = pairs.groupBy("a").agg(F.max(F.struct("common", "b")).alias("best")).select("a", "best.b")
-    best = common.cut(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     wanted = places.select("doc").distinct()
     sets = common.cut(rows.join(wanted.hint("shuffle_hash"), "doc").mapInArrow(_sets(k), "doc bigint, n bigint, sig binary, members binary"), "sets")
-    parts = best.select(F.xxhash64("a", "b").alias("region"), F.explode(F.array("a", "b")).alias("doc")).withColumn("label", F.col("doc"))
-    found = components(_links(parts, sets))
+    tried = common.cut(_nearest(places), "pairs")
+    found = components(_links(_regions(tried), sets))
+    for _ in range(ROUNDS - 1):
+        best = common.cut(_nearest(places, found, tried), "pairs")
+        found = common.cut(joined(found, _links(_regions(best), sets)), "found")
+        tried = tried.unionAll(best)
+        tried = tried.unionAll(best)
     more = _links(common.cut(_blockwise(places, found), "blocks"), sets)
 
     # A key with several texts is in several classes.
