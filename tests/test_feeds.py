@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schema
+from tidemark.functions import batches
 from tidemark.operators import analytics, fold, validate
 from tidemark.plans import export, run
 from tidemark.plans.store import LeaseHeld, Store
@@ -315,3 +316,20 @@ def test_charts():
     svg = export.stacked_days([{"label": "a", "series": [1, 0, 3]}, {"label": "b<", "series": [2, 0, 5]}])
     assert svg.count("<rect") == 4 and 'data-ceiling="10"' in svg and "b&lt;" in svg and export.stacked_days([]).count("<rect") == 0
     assert export.bars([("x", 3), ("y", 1)]).count("<rect") == 2 and export.bars([]).count("<rect") == 0
+
+
+# -- what Python gets at once -------------------------------------------------------
+
+
+def test_pages_of_a_thread_reach_python_in_bounded_batches(spark, monkeypatch):
+    """The id of each comment is the number of characters that came with its page."""
+
+    @F.pandas_udf(html_thread.comments.returnType)
+    def sizes(pages):
+        return pages.map(lambda _: [{"id": str(int(pages.str.len().sum())), "indent": "0", "posted_at": None, "lines": ["Acme | Engineer"], "plain": "x"}])
+
+    spark.conf.unset(batches.BATCH_KEY)
+    monkeypatch.setattr(html_thread, "comments", sizes)
+    pages = landed(spark, *((f"hackernews:{i}", "hackernews", "x" * 300_000) for i in range(30)))
+    found = [int(r.external_id) for r in html_thread.parse(pages.coalesce(1)).collect()]
+    assert len(found) == 30 and max(found) < batches.BATCH_BYTES + 300_000

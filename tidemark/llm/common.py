@@ -8,22 +8,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegralType, NullType
 
+from tidemark.functions.batches import small_batches  # noqa: F401 - the operators take it from here
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bounds Arrow batches by bytes: rows are whole texts here and a few numbers there, so a count of rows fits neither."""
-    now = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(BATCH_KEY))
-    if not 0 < now <= BATCH_BYTES:
-        spark.conf.set(BATCH_KEY, f"{BATCH_BYTES}b")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; where that is unset, a folder of this machine, but only if all of Spark runs on it."""
     where = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import identity, text
+from tidemark.functions.batches import small_batches
 from tidemark.schema import ALLOWED, EPOCH, REQUIRED, SOURCES
 
 # Names that say nothing (P-10).
@@ -160,6 +161,7 @@ def postings(rows: DataFrame) -> DataFrame:
 
 
 def with_identity(rows: DataFrame) -> DataFrame:
+    small_batches(rows.sparkSession)
     return (
         rows.withColumn("dedup_key", identity.dedup_key(F.col("source"), F.col("external_id")))
         .withColumn("content_fingerprint", identity.fingerprint(F.col("company"), F.col("title"), F.col("location")))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tidemark.functions import headers, text
+from tidemark.functions.batches import small_batches
 from tidemark.schema import ALLOWED, PAYLOAD
 from tidemark.sources.landing import records
 
@@ -80,6 +81,7 @@ def problems(landing: DataFrame) -> DataFrame:
 
 
 def parse(landing: DataFrame) -> DataFrame:
+    small_batches(landing.sparkSession)
     own = landing.filter((F.col("source") == SOURCE) & F.col("body").isNotNull())
     rows = own.select("task_key", F.col("meta")["thread_id"].alias("thread_id"), F.posexplode(comments("body")).alias("pos", "c"))
     rows = rows.select("task_key", "thread_id", "pos", *(F.col(f"c.{f}").alias(f) for f in _COMMENT.names))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
+from tidemark.functions.batches import small_batches
 from tidemark.schema import ALLOWED, EPOCH, PAYLOAD
 from tidemark.sources.landing import records
 
@@ -41,6 +42,7 @@ def problems(landing: DataFrame) -> DataFrame:
 
 
 def parse(landing: DataFrame) -> DataFrame:
+    small_batches(landing.sparkSession)
     own = landing.filter((F.col("source") == SOURCE) & F.col("body").isNotNull()).withColumn("v", F.try_parse_json("body"))
     own = own.filter(F.startswith(F.schema_of_variant("v"), F.lit("ARRAY"))).select("task_key", "v")
     rows = own.lateralJoin(own.sparkSession.tvf.variant_explode(F.col("v").outer())).select("task_key", "pos", "value")

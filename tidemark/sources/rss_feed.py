@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
+from tidemark.functions.batches import small_batches
 from tidemark.schema import ALLOWED, PAYLOAD
 from tidemark.sources.landing import records
 
@@ -31,6 +32,7 @@ def _field(name: str) -> Column:
 
 
 def parse(landing: DataFrame) -> DataFrame:
+    small_batches(landing.sparkSession)
     rows = _read(landing).filter("x._corrupt_record IS NULL").select("task_key", F.posexplode("x.channel.item").alias("pos", "item"))
     identity = F.coalesce(_field("guid"), _field("link"))
     title = _field("title")
