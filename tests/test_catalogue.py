@@ -6,8 +6,10 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tidemark.functions import batches, text
 from tidemark.plans import catalogue, feed_catalogue  # noqa: F401
 from tests.conftest import SF
 
@@ -44,3 +46,17 @@ def test_by_source_counts_every_source(spark, tmp_path):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_texts_reach_python_in_bounded_batches(spark, tmp_path, monkeypatch):
+    """Each text becomes the number of characters that came with it."""
+
+    @F.pandas_udf("string")
+    def sizes(values):
+        return values.map(lambda _: str(int(values.str.len().sum())), na_action="ignore")
+
+    spark.createDataFrame([(i, "é" * 100_000) for i in range(60)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.conf.unset(batches.BATCH_KEY)
+    monkeypatch.setattr(text, "strip_accents", sizes)
+    found = [int(r.normal) for r in catalogue.QUERIES["normalized_text"](spark, str(tmp_path)).collect()]
+    assert len(found) == 60 and max(found) * 2 < batches.BATCH_BYTES + 200_000

@@ -6,6 +6,7 @@ observations, orders for runs, lineitem for tasks of runs. Times are fixed or ta
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schema
 from tidemark.functions import headers, identity, text
+from tidemark.functions.batches import small_batches
 from tidemark.operators import analytics, fold, validate, verdict
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,14 +58,19 @@ def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query(sql: str | None) -> Callable[[Query], Query]:
-    """Registers a function under its name, without the trailing underscore, and its twin."""
+    """Registers a function under its name, without the trailing underscore, and its twin; what it sends to Python is bounded."""
 
     def add(f: Query) -> Query:
+        @functools.wraps(f)
+        def bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+            small_batches(spark)
+            return f(spark, sf_dir)
+
         name = f.__name__.rstrip("_")
-        QUERIES[name] = f
+        QUERIES[name] = bounded
         if sql:
             ORACLES[name] = sql
-        return f
+        return bounded
 
     return add
 
